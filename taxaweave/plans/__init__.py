@@ -1,2 +1,10 @@
-from taxaweave.plans import records, regions, representatives, taxonomy  # noqa: F401
+from taxaweave.plans import (  # noqa: F401
+    linking,
+    matrix,
+    outliers,
+    records,
+    regions,
+    representatives,
+    taxonomy,
+)
 from taxaweave.plans.registry import QUERIES, SQL  # noqa: F401
