@@ -75,14 +75,19 @@ def conserved_sites(
     return _long_enough(cleaned, min_block).select("gene", "pos")
 
 
-def keep_sites(cells: DataFrame, sites: DataFrame, min_length: int = 0) -> DataFrame:
-    """Cells cut down to ``sites``; all-gap rows and rows not longer than ``min_length`` go.
+def keep_sites(cells: DataFrame, sites: DataFrame, kept: DataFrame, min_length: int = 0) -> DataFrame:
+    """Cells cut down to the ``kept`` of all ``sites``.
 
-    The site list of a gene is one row, no longer than its alignment.
+    Rows that are all gaps or not longer than ``min_length`` go. The mask of a
+    gene is one row, as long as its alignment.
     """
-    listed = sites.groupBy("gene").agg(F.array_sort(F.collect_list("pos")).alias("_sites"))
-    cut = cells.join(listed, "gene").withColumn(
+    flagged = sites.select("gene", "pos").join(kept.withColumn("_keep", F.lit(True)), ["gene", "pos"], "left")
+    mask = flagged.groupBy("gene").agg(
+        F.array_sort(F.collect_list(F.struct("pos", F.col("_keep").isNotNull().alias("k")))).alias("_mask")
+    )
+    letters = F.split("sequence", "")
+    cut = cells.join(mask, "gene").withColumn(
         "sequence",
-        F.concat_ws("", F.transform("_sites", lambda p: F.substring(F.col("sequence"), p, F.lit(1)))),
-    ).drop("_sites")
+        F.concat_ws("", F.zip_with(letters, "_mask", lambda c, m: F.when(m["k"], c).otherwise(F.lit("")))),
+    ).drop("_mask")
     return cut.where((F.length("sequence") > min_length) & F.col("sequence").rlike("[^-]"))

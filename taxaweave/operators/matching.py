@@ -19,8 +19,8 @@ from taxaweave.session import cut_lineage
 
 # Most edges of a component that one task solves.
 EDGES_PER_TASK = 20_000
-# Weights are compared in these steps by the auction.
-STEP = 1e-3
+# Weights are compared in these steps by the auction: halves when they suffice.
+COARSE_STEP, FINE_STEP = 0.5, 1e-3
 
 
 def max_weight_matching(
@@ -127,8 +127,10 @@ def _by_auction(edges: DataFrame) -> DataFrame:
     The graph is doubled so that everyone finds a partner: each node may also
     take its own mirror image for nothing. Prices carry over between phases;
     the last step is below one unit over the number of nodes, which makes the
-    outcome optimal for the weights in multiples of ``STEP``.
+    outcome optimal for weights in multiples of the weight step.
     """
+    odd = edges.where(F.col("weight") % COARSE_STEP != 0)
+    weight_step = COARSE_STEP if odd.isEmpty() else FINE_STEP
     copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("n1")))
     units = edges.select("src", "dst", "weight", "n2", copies.alias("i")).select(
         "src", "dst", "weight", "i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n2"))).alias("j")
@@ -138,7 +140,7 @@ def _by_auction(edges: DataFrame) -> DataFrame:
         return F.struct(F.lit(side).alias("side"), F.col(name).cast("string").alias("id"), F.col(number).alias("u"))
 
     whole = units.select(
-        node(0, "src", "i").alias("t"), node(1, "dst", "j").alias("c"), F.round(F.col("weight") / STEP).cast("long").alias("w")
+        node(0, "src", "i").alias("t"), node(1, "dst", "j").alias("c"), F.round(F.col("weight") / weight_step).cast("long").alias("w")
     )
     nodes = whole.select(F.col("t").alias("v")).union(whole.select(F.col("c").alias("v"))).distinct()
     count = nodes.count()
