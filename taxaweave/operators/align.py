@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from taxaweave.operators.clusters import best_by
 
@@ -51,12 +52,12 @@ def path_to_centre(centre: str, sequence: str) -> str:
     return "".join(reversed(out))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _paths(centre: pd.Series, sequence: pd.Series) -> pd.Series:
     return pd.Series([path_to_centre(a, b) for a, b in zip(centre, sequence)])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _follow(path: pd.Series, sequence: pd.Series) -> pd.Series:
     """Columns of ``sequence`` moved as ``path`` moves those of its group."""
     def one(p, s):

@@ -34,8 +34,8 @@ def _first(text: Column, pattern: str, group: int = 1) -> Column:
 
 def _lineage_lines(text: Column) -> Column:
     block = F.regexp_extract(text, r"(?ms)^\s*ORGANISM[^\n]*\n(.*?)" + HEADS, 1)
-    lines = F.transform(F.split(block, "\n"), F.trim)
-    return F.filter(F.transform(lines, lambda s: F.regexp_replace(s, r"\s+$", "")), lambda s: s != "")
+    lines = F.transform(F.split(block, "\n"), lambda s: F.regexp_replace(s, r"^\s+|\s+$", ""))
+    return F.filter(lines, lambda s: s != "")
 
 
 def _lineage(text: Column) -> Column:
