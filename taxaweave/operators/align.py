@@ -22,7 +22,10 @@ EQUAL, UNEQUAL, GAP = 5, -4, -6
 
 
 def path_to_centre(centre: str, sequence: str) -> str:
-    """``sequence`` along ``centre``: capitals and gaps at centre positions, insertions in small letters."""
+    """``sequence`` along ``centre``: capitals and gaps at centre positions, insertions in small letters.
+
+    Both are letters; ``*`` marks a column that is a gap, ``.`` an inserted one.
+    """
     a = np.frombuffer(centre.encode("ascii", "replace"), dtype=np.uint8)
     b = np.frombuffer(sequence.encode("ascii", "replace"), dtype=np.uint8)
     steps = np.arange(len(b) + 1) * GAP
@@ -48,7 +51,7 @@ def path_to_centre(centre: str, sequence: str) -> str:
             out.append("-")
         else:
             j -= 1
-            out.append(sequence[j].lower())
+            out.append("." if sequence[j] == "*" else sequence[j].lower())
     return "".join(reversed(out))
 
 
