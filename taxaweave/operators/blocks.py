@@ -12,15 +12,18 @@ from pyspark.sql.window import Window
 
 
 def site_counts(cells: DataFrame) -> DataFrame:
-    """(gene, pos, rows, top, gaps): most frequent base and gaps per site, pos from 1."""
+    """(gene, pos, rows, top, gaps): most frequent base and gaps per site, pos from 1.
+
+    Only bases are exploded; gaps, also those after the end of a shorter row,
+    are what is missing from the number of rows.
+    """
     rows = cells.groupBy("gene").agg(F.count(F.lit(1)).alias("rows"))
     sites = cells.select("gene", F.posexplode(F.split("sequence", "")).alias("i", "base"))
-    letters = sites.where("base <> ''").groupBy("gene", "i", "base").agg(F.count(F.lit(1)).alias("n"))
-    per_site = letters.groupBy("gene", "i").agg(
-        F.coalesce(F.max(F.when(F.col("base") != "-", F.col("n"))), F.lit(0)).alias("top"),
-        F.coalesce(F.max(F.when(F.col("base") == "-", F.col("n"))), F.lit(0)).alias("gaps"),
+    letters = sites.where("base <> '' AND base <> '-'").groupBy("gene", "i", "base").agg(F.count(F.lit(1)).alias("n"))
+    per_site = letters.groupBy("gene", "i").agg(F.max("n").alias("top"), F.sum("n").alias("bases"))
+    return per_site.join(rows, "gene").select(
+        "gene", (F.col("i") + 1).alias("pos"), "rows", "top", (F.col("rows") - F.col("bases")).alias("gaps")
     )
-    return per_site.join(rows, "gene").select("gene", (F.col("i") + 1).alias("pos"), "rows", "top", "gaps")
 
 
 def _blocks(sites: DataFrame) -> DataFrame:
@@ -81,13 +84,16 @@ def keep_sites(cells: DataFrame, sites: DataFrame, kept: DataFrame, min_length:
     Rows that are all gaps or not longer than ``min_length`` go. The mask of a
     gene is one row, as long as its alignment.
     """
-    flagged = sites.select("gene", "pos").join(kept.withColumn("_keep", F.lit(True)), ["gene", "pos"], "left")
+    last = sites.groupBy("gene").agg(F.max("pos").alias("_last"))
+    every = last.select("gene", F.explode(F.sequence(F.lit(1), F.col("_last"))).alias("pos"))
+    flagged = every.join(kept.withColumn("_keep", F.lit(True)), ["gene", "pos"], "left")
     mask = flagged.groupBy("gene").agg(
         F.array_sort(F.collect_list(F.struct("pos", F.col("_keep").isNotNull().alias("k")))).alias("_mask")
     )
     letters = F.split("sequence", "")
+    # Sites beyond the mask hold no base in any row.
     cut = cells.join(mask, "gene").withColumn(
         "sequence",
-        F.concat_ws("", F.zip_with(letters, "_mask", lambda c, m: F.when(m["k"], c).otherwise(F.lit("")))),
+        F.concat_ws("", F.zip_with(letters, "_mask", lambda c, m: F.when(m["k"], F.coalesce(c, F.lit("-"))).otherwise(F.lit("")))),
     ).drop("_mask")
     return cut.where((F.length("sequence") > min_length) & F.col("sequence").rlike("[^-]"))

@@ -30,19 +30,20 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
             F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v")
         ).where("u <> v").distinct()
     )
-    before = None
-    while True:
+    while not _all_stars(links):
         links = cut_lineage(_small_star(_large_star(links)))
-        state = links.agg(
-            F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")
-        ).first()
-        if before is not None and state == before:
-            break
-        before = state
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("component"))
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots).distinct()
 
 
+def _all_stars(links: DataFrame) -> bool:
+    """Whether every node links straight to one node that links no further."""
+    several = links.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("u")
+    if not several.isEmpty():
+        return False
+    return links.select("u").join(links.select(F.col("v").alias("u")), "u", "left_semi").isEmpty()
+
+
 def _large_star(links: DataFrame) -> DataFrame:
     """Link each node's larger neighbours to the smallest label in its neighbourhood."""
     both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))

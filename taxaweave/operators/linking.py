@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 
 from taxaweave.operators.components import connected_components
 from taxaweave.operators.matching import EDGES_PER_TASK, max_weight_matching
-from taxaweave.operators.ranking import number_rows
+from taxaweave.operators.ranking import number_rows, running_sum
 from taxaweave.session import cut_lineage
 
 PREFIX = "Taxon_"
+# Matched units spelled out from one row at a time.
+UNITS_PER_STEP = 10_000
 
 
 def gene_order(sequences: DataFrame, min_length: int) -> list[str]:
@@ -253,16 +255,19 @@ def match_units(left_units: DataFrame, right_units: DataFrame, edges: DataFrame,
         right_units.groupBy("class").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("class", "dst"),
     )
     flows = cut_lineage(max_weight_matching(edges, sizes, edges_per_task))
-    from taxaweave.operators.ranking import running_sum
-
     spread = running_sum(flows, "units", ["dst"], ["src"], "upto1")
     spread = cut_lineage(running_sum(spread, "units", ["src"], ["dst"], "upto2"))
-    ranked_left = number_rows(left_units, [left], ["class"], "k1")
-    ranked_right = number_rows(right_units, [right], ["class"], "k2")
-    chosen = ranked_left.join(spread, F.col("class") == F.col("src")).where("k1 > upto1 - units AND k1 <= upto1").select(
-        left, "dst", (F.col("k1") - F.col("upto1") + F.col("upto2")).alias("k2")
+    # One row per matched unit, spread in steps so that a large flow is no single array.
+    steps = F.sequence(F.lit(0).cast("long"), F.floor((F.col("units") - 1) / UNITS_PER_STEP))
+    stepped = spread.select("*", F.explode(steps).alias("_step")).repartition("src", "dst", "_step")
+    first = F.col("_step") * UNITS_PER_STEP
+    within = F.sequence(first, F.least(first + UNITS_PER_STEP, F.col("units")) - 1)
+    slots = stepped.select("*", F.explode(within).alias("_at")).select(
+        "src", "dst", (F.col("upto1") - F.col("_at")).alias("k1"), (F.col("upto2") - F.col("_at")).alias("k2")
     )
-    return chosen.join(ranked_right.withColumnRenamed("class", "dst"), ["dst", "k2"]).select(left, right)
+    ranked_left = number_rows(left_units, [left], ["class"], "k1").withColumnRenamed("class", "src")
+    ranked_right = number_rows(right_units, [right], ["class"], "k2").withColumnRenamed("class", "dst")
+    return slots.join(ranked_left, ["src", "k1"]).join(ranked_right, ["dst", "k2"]).select(left, right)
 
 
 def multimotu(

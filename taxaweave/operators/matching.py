@@ -9,6 +9,8 @@ round is a join and two aggregates over all bidders at once.
 from __future__ import annotations
 
 from collections import deque
+from itertools import groupby
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -53,24 +55,40 @@ def max_weight_matching(
 
     types = dict(positive.dtypes)
     schema = f"src {types['src']}, dst {types['dst']}, units long"
-    # Bounded groups: the filter on the measured size is what keeps them small.
-    small = labelled.where(F.col("edges") <= edges_per_task).groupBy("component").applyInPandas(_solve, schema)
-    large = labelled.where(F.col("edges") > edges_per_task)
+    single = labelled.where("edges = 1").select("src", "dst", F.least("n1", "n2").alias("units"))
+    # Components of bounded size share a task up to the same bound; the filter
+    # on the measured size is what keeps a task small.
+    bounded = labelled.where((F.col("edges") > 1) & (F.col("edges") <= edges_per_task))
+    tasks = 1 + 4 * bounded.count() // max(1, edges_per_task)
+    small = bounded.withColumn("task", F.pmod(F.xxhash64("component"), F.lit(tasks))).groupBy("task").applyInPandas(
+        _solve_all, schema
+    )
+    large = labelled.where(F.col("edges") > max(1, edges_per_task))
+    found = single.unionByName(small)
     if large.isEmpty():
-        return small
-    return small.unionByName(_by_auction(large).select("src", "dst", "units"))
+        return found
+    return found.unionByName(_by_auction(large).select("src", "dst", "units"))
+
 
+def _solve_all(rows: pd.DataFrame) -> pd.DataFrame:
+    """Solve the components of one task, one after the other."""
+    rows = rows.sort_values(["component", "src", "dst"])
+    columns = [rows[c].tolist() for c in ("component", "src", "dst", "weight", "n1", "n2")]
+    flows = []
+    for _, edges in groupby(zip(*columns), key=itemgetter(0)):
+        flows += _solve([edge[1:] for edge in edges])
+    return pd.DataFrame(flows, columns=["src", "dst", "units"]).astype({"units": "int64"})
 
-def _solve(rows: pd.DataFrame) -> pd.DataFrame:
+
+def _solve(edges: list[tuple]) -> list[tuple]:
     """Send units along the best augmenting paths until none gains weight."""
-    rows = rows.sort_values(["src", "dst"])
-    left = {v: i for i, v in enumerate(rows["src"].drop_duplicates())}
-    right = {v: i + len(left) for i, v in enumerate(rows["dst"].drop_duplicates())}
-    free = {left[s]: n for s, n in zip(rows["src"], rows["n1"])}
-    free.update({right[t]: n for t, n in zip(rows["dst"], rows["n2"])})
+    left = {v: i for i, v in enumerate(dict.fromkeys(e[0] for e in edges))}
+    right = {v: i + len(left) for i, v in enumerate(dict.fromkeys(e[1] for e in edges))}
+    free = {left[e[0]]: e[3] for e in edges}
+    free.update({right[e[1]]: e[4] for e in edges})
     ahead: dict[int, dict[int, float]] = {i: {} for i in left.values()}
     back: dict[int, dict[int, int]] = {j: {} for j in right.values()}
-    for s, t, w in zip(rows["src"], rows["dst"], rows["weight"]):
+    for s, t, w, _, _ in edges:
         ahead[left[s]][right[t]] = w
     while True:
         gain = {i: 0.0 for i in ahead if free[i] > 0}
@@ -90,18 +108,15 @@ def _solve(rows: pd.DataFrame) -> pd.DataFrame:
                     if other not in queued:
                         queue.append(other)
                         queued.add(other)
-        # A path may also end by leaving a unit of the left side unmatched.
-        ends = [(gain[j], -j) for j in back if j in gain and free[j] > 0]
-        best = max(ends, default=(0.0, 0))
-        lost = max(((g, -i) for i, g in gain.items() if i in ahead and i in came), default=(0.0, 0))
-        if max(best[0], lost[0]) <= 1e-9:
+        best = max(((gain[j], -j) for j in back if j in gain and free[j] > 0), default=(0.0, 0))
+        if best[0] <= 1e-9:
             break
-        end = -(best if best[0] >= lost[0] else lost)[1]
+        end = -best[1]
         path = [end]
         while path[-1] in came:
             path.append(came[path[-1]])
         path.reverse()
-        amount = min(free[path[0]], free[end] if end in back else free[path[0]])
+        amount = min(free[path[0]], free[end])
         for a, b in zip(path, path[1:]):
             if a in back:
                 amount = min(amount, back[a][b])
@@ -111,14 +126,10 @@ def _solve(rows: pd.DataFrame) -> pd.DataFrame:
             else:
                 back[a][b] -= amount
         free[path[0]] -= amount
-        if end in back:
-            free[end] -= amount
-        else:
-            free[end] += amount
+        free[end] -= amount
     names = {i: v for v, i in left.items()}
     others = {j: v for v, j in right.items()}
-    flows = [(names[i], others[j], n) for j, m in back.items() for i, n in m.items() if n > 0]
-    return pd.DataFrame(flows, columns=["src", "dst", "units"]).astype({"units": "int64"})
+    return [(names[i], others[j], n) for j, m in back.items() for i, n in m.items() if n > 0]
 
 
 def _by_auction(edges: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from taxaweave.operators import blocks, outliers
 from taxaweave.plans.registry import query, table
+from taxaweave.session import cut_lineage
 
 
 @query("""
@@ -56,10 +57,10 @@ def taxon_outlier_keep_largest(spark, d):
     return outliers.largest_cluster(table(spark, d, "events"), ["event_type"], "user_id")
 
 
-# Each text is a row of its language's alignment, padded to the longest with gaps;
-# two letters in three are masked to make sites agree.
+# Each text is a row of its language's alignment, with gaps after its end; all
+# letters count as one base, so that sites agree.
 ALIGNED = """
-t AS (SELECT doc_id, lang AS gene, regexp_replace(substring(text, 1, length(text)), '[^ .\\n]', 'A', 'g') AS s FROM documents),
+t AS (SELECT doc_id, lang AS gene, regexp_replace(text, '[^ .\\n]', 'A', 'g') AS s FROM documents),
 l AS (SELECT gene, max(length(s)) AS len, count(*) AS n FROM t GROUP BY gene),
 e AS (SELECT gene, unnest(string_split(s, '')) AS base, unnest(range(1, length(s) + 1)) AS pos FROM t),
 b AS (SELECT gene, pos, base, count(*) AS k FROM e GROUP BY ALL),
@@ -91,7 +92,5 @@ SELECT gene, pos::BIGINT AS pos FROM k9 WHERE n >= 10
 def block_filter(spark, d):
     letters = F.regexp_replace("text", r"[^ .\n]", "A")
     documents = table(spark, d, "documents").select(F.col("lang").alias("gene"), letters.alias("sequence"))
-    lengths = documents.groupBy("gene").agg(F.max(F.length("sequence")).alias("len"))
-    aligned = documents.join(lengths, "gene").select("gene", F.rpad("sequence", F.col("len"), "-").alias("sequence"))
-    sites = blocks.site_counts(aligned)
+    sites = cut_lineage(blocks.site_counts(documents))
     return blocks.conserved_sites(sites, gaps="h").select("gene", F.col("pos").cast("long").alias("pos"))
