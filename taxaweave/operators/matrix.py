@@ -130,3 +130,58 @@ def partitions(cells: DataFrame, genes: Sequence[str]) -> DataFrame:
     return lengths.withColumn("last", upto).select(
         "gene", "position", (F.col("last") - F.col("len") + 1).alias("first"), "last"
     )
+
+
+def decisiveness(taxon_genes: DataFrame, draws: int = 1000, seed: int = 1, size: int = 4, taxon: str = "taxon") -> DataFrame:
+    """(draws, decisive): how many random sets of ``size`` taxa share a gene.
+
+    The sample is the operator: a fixed number of draws, each naming taxa by
+    rank through a congruential generator, so a run can be repeated.
+    """
+    from taxaweave.operators.ranking import number_rows
+
+    cells = taxon_genes.select(taxon, "gene").distinct()
+    ranked = number_rows(cells.select(taxon).distinct(), [taxon], name="rank")
+    spark = cells.sparkSession
+    total = ranked.agg(F.count(F.lit(1)).alias("_n"))
+    drawn = spark.range(draws).select(
+        F.col("id").alias("draw"), F.explode(F.sequence(F.lit(1), F.lit(size))).alias("k")
+    ).crossJoin(F.broadcast(total)).select(
+        "draw", ((((F.col("draw") * 7919 + F.col("k") * 104729 + seed) * 48271) % 2147483647) % F.col("_n") + 1).alias("rank")
+    ).distinct()
+    sizes = drawn.groupBy("draw").agg(F.count(F.lit(1)).alias("size"))
+    shared = drawn.join(ranked, "rank").join(cells, taxon).groupBy("draw", "gene").agg(F.count(F.lit(1)).alias("n"))
+    most = shared.groupBy("draw").agg(F.max("n").alias("most"))
+    return sizes.join(most, "draw").agg(
+        F.count(F.lit(1)).alias("draws"), F.count_if(F.col("most") == F.col("size")).alias("decisive")
+    )
+
+
+def distance_ratio(
+    cells: DataFrame, first: str, second: str, pairs_of: int = 10, seed: int = 1, taxon: str = "taxon"
+) -> DataFrame:
+    """(ratio, pairs): mean distance in gene ``second`` over that in ``first``.
+
+    Compared are all pairs of a sample of ``pairs_of`` taxa that have both
+    genes; identical sequences of the first gene are left out.
+    """
+    from taxaweave.functions import jukes_cantor
+
+    both = cells.where(F.col("gene").isin(first, second)).groupBy(taxon).agg(
+        F.min(F.when(F.col("gene") == first, F.col("sequence"))).alias("s1"),
+        F.min(F.when(F.col("gene") == second, F.col("sequence"))).alias("s2"),
+    ).where("s1 IS NOT NULL AND s2 IS NOT NULL")
+    order = F.md5(F.concat_ws("/", F.lit(seed), F.col(taxon).cast("string")))
+    # At most ``pairs_of`` rows, hence a bounded number of pairs.
+    sample = both.orderBy(order, taxon).limit(pairs_of)
+    left, right = sample.alias("a"), sample.alias("b")
+
+    def distance(name):
+        one, two = F.col(f"a.{name}"), F.col(f"b.{name}")
+        share = F.levenshtein(one, two).cast("double") / F.greatest(F.length(one), F.length(two))
+        return jukes_cantor(share).alias(f"d_{name}")
+
+    compared = left.join(right, F.col(f"a.{taxon}") < F.col(f"b.{taxon}")).select(distance("s1"), distance("s2"))
+    return compared.where("d_s1 > 0 AND d_s2 IS NOT NULL").agg(
+        F.avg(F.col("d_s2") / F.col("d_s1")).alias("ratio"), F.count(F.lit(1)).alias("pairs")
+    )

@@ -1,4 +1,5 @@
 from taxaweave.plans import (  # noqa: F401
+    alignment,
     linking,
     matrix,
     outliers,

@@ -100,6 +100,20 @@ def test_distance_tree(spark, block):
     assert {r["split"] for r in trees.clades(halves).collect()} <= found
 
 
+def test_tree_parts(spark):
+    from taxaweave.operators import treeparts
+
+    nodes = newick(spark, "((a:1,b:1):1,(c:1,(d:1,e:1):5):1,f:9);")
+    near = {r["label"]: r["part"] for r in treeparts.short_branch_clusters(nodes, F.lit(4.0)).collect()}
+    assert near["a"] == near["b"] == near["c"] != near["d"] == near["e"] and near["f"] not in (near["a"], near["d"])
+    values = spark.createDataFrame([("0", x, v) for x, v in zip("abcdef", "xxyyyx")], "tree string, label string, value string")
+    clades = {r["label"]: r["part"] for r in treeparts.same_value_clades(nodes, values).collect()}
+    assert clades["a"] == clades["b"] and clades["c"] == clades["d"] == clades["e"]
+    assert len({clades["a"], clades["c"], clades["f"]}) == 3
+    sizes = treeparts.bounded_parts(nodes, 2).groupBy("part").count().collect()
+    assert max(r["count"] for r in sizes) <= 2 and sum(r["count"] for r in sizes) == 6
+
+
 def test_resample_draws_same_columns(spark):
     df = spark.createDataFrame([("g", "a", "ACGTACGT"), ("g", "b", "ACGTACGT"), ("g", "c", "TTTTTTTT")], "tree string, taxon string, sequence string")
     rows = trees.resample(df, 3, seed=5).collect()
