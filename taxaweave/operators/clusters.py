@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from taxaweave.operators.components import connected_components
+from taxaweave.operators.ranking import join_groups
 from taxaweave.session import cut_lineage
 
 
@@ -28,14 +29,14 @@ def elect_leads(df: DataFrame, keys: Sequence[str], identifier: str, score: Colu
 def with_leads(df: DataFrame, keys: Sequence[str], identifier: str, score: Column) -> DataFrame:
     """Every row with the lead of its group; the join is split when a group is hot."""
     leads = elect_leads(df, keys, identifier, score).select(*keys, "lead")
-    return df.join(leads, list(keys))
+    return join_groups(df, leads, list(keys))
 
 
 def leads_or_all(df: DataFrame, keys: Sequence[str], is_lead: Column) -> DataFrame:
     """Leads of groups that have any, otherwise every row of the group."""
     flagged = df.withColumn("_lead", F.coalesce(is_lead, F.lit(False)))
     has = flagged.groupBy(*keys).agg(F.max("_lead").alias("_any"))
-    return flagged.join(has, list(keys)).where("_lead OR NOT _any").select(*df.columns)
+    return join_groups(flagged, has, list(keys)).where("_lead OR NOT _any").select(*df.columns)
 
 
 def merge_clusters(sequences: DataFrame, links: DataFrame) -> DataFrame:

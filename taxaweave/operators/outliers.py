@@ -10,14 +10,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxaweave.operators.ranking import exact_median, number_rows
+from taxaweave.operators.ranking import exact_median, join_groups, number_rows
 
 
 def median_deviation(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
     """(groups, median, mad): exact median and median absolute deviation."""
     centre = exact_median(df, groups, value, "median")
-    spread = df.join(centre, list(groups)).withColumn("_d", F.abs(F.col(value) - F.col("median")))
-    return centre.join(exact_median(spread, groups, "_d", "mad"), list(groups))
+    spread = join_groups(df, centre, list(groups)).withColumn("_d", F.abs(F.col(value) - F.col("median")))
+    return join_groups(centre, exact_median(spread, groups, "_d", "mad"), list(groups))
 
 
 def gamma_moments(df: DataFrame, value: str, groups: Sequence[str] = ()) -> DataFrame:

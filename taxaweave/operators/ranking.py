@@ -98,6 +98,15 @@ def _all(conditions: Sequence[Column]) -> Column:
     return result
 
 
+def join_groups(df: DataFrame, per_group: DataFrame, groups: Sequence[str], how: str = "inner") -> DataFrame:
+    """Add the columns of ``per_group`` to the rows of each group; a missing key is a group too."""
+    renamed = per_group.select(
+        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], *[c for c in per_group.columns if c not in groups]
+    )
+    on = _all([F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(groups)])
+    return df.join(renamed, on, how).drop(*[f"_g{i}" for i in range(len(groups))])
+
+
 def exact_median(
     df: DataFrame, groups: Sequence[str], value: str, name: str = "median",
     rows_per_task: int = ROWS_PER_TASK,
@@ -107,7 +116,8 @@ def exact_median(
     counted = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
     totals = counted.groupBy(*groups).agg(F.sum("_n").alias("_total"))
     cumulative = running_sum(counted, "_n", [value], groups, "_upto", rows_per_task)
-    joined = cumulative.join(totals, groups) if groups else cumulative.crossJoin(F.broadcast(totals))
+    # Without groups the totals are one row.
+    joined = join_groups(cumulative, totals, groups) if groups else cumulative.crossJoin(F.broadcast(totals))
     low = F.floor((F.col("_total") + 1) / 2)
     high = F.floor((F.col("_total") + 2) / 2)
     before = F.col("_upto") - F.col("_n")

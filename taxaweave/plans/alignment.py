@@ -57,7 +57,7 @@ def bootstrap_support(spark, d):
 @query()
 def bounded_tree_parts(spark, d):
     nodes = cut_lineage(trees.build_trees(_part_rows(spark, d)))
-    return treeparts.bounded_parts(nodes, 50)
+    return treeparts.bounded_parts(nodes, trees.MAX_BLOCK)
 
 
 TIPS = """

@@ -43,9 +43,9 @@ def gamma_moments(spark, d):
 
 @query()
 def gamma_tail(spark, d):
-    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    cut_off = outliers.tail_cut_off(orders, "o_totalprice", "o_orderkey")
-    return orders.where(F.col("o_totalprice") > cut_off).withColumn("cut_off", F.lit(cut_off))
+    documents = table(spark, d, "documents").select("doc_id", F.col("n_chars").cast("double").alias("length"))
+    cut_off = outliers.tail_cut_off(documents, "length", "doc_id")
+    return documents.where(F.col("length") > cut_off).withColumn("cut_off", F.lit(cut_off))
 
 
 @query("""

@@ -47,6 +47,16 @@ def test_best_representative_and_ties(spark):
     assert got == {"g": "b", "h": "y"}
 
 
+def test_missing_keys_are_groups(spark):
+    df = spark.createDataFrame([("a", "x", 1.0), (None, "y", 2.0), (None, "z", 3.0)], "g string, id string, s double")
+    got = {r["id"]: r["lead"] for r in clusters.with_leads(df, ["g"], "id", F.col("s")).collect()}
+    assert got == {"x": "x", "y": "z", "z": "z"}
+    rows = clusters.leads_or_all(df, ["g"], F.col("id") == "y").collect()
+    assert sorted(r["id"] for r in rows) == ["x", "y"]
+    spread = {r["g"]: (r["median"], r["mad"]) for r in outliers.median_deviation(df, ["g"], "s").collect()}
+    assert spread == {"a": (1.0, 0.0), None: (2.5, 0.5)}
+
+
 def test_individuals(spark):
     rows = [
         ("1", "v1", None, None), ("2", "v1", "s1", None), ("3", None, "s1", None), ("4", None, None, None),
