@@ -300,16 +300,12 @@ def _gene_trees(cells):
 
 def _drop_outliers(cells, nodes):
     """Cells without taxa that hang on unlikely long branches of their gene's tree."""
-    lengths = nodes.where("length IS NOT NULL").select("tree", "node", "length")
-    gone = None
-    for row in lengths.select("tree").distinct().orderBy("tree").collect():
-        mine = nodes.where(F.col("tree") == row["tree"])
-        cut = outliers.tail_cut_off(lengths.where(F.col("tree") == row["tree"]), "length", "node")
-        found = cut_lineage(treeparts.short_branch_clusters(mine, F.lit(cut)))
-        best = outliers.largest_cluster(found, ["tree"], "part").select("tree", "part")
-        lost = found.join(best, ["tree", "part"], "left_anti").select(F.col("tree").alias("gene"), F.col("label").alias("taxon"))
-        gone = lost if gone is None else gone.unionByName(lost)
-    return cells if gone is None else cut_lineage(cells.join(gone, ["gene", "taxon"], "left_anti"))
+    cuts = outliers.tail_cut_offs(nodes.where("length IS NOT NULL"), ["tree"], "length", "node")
+    marked = cut_lineage(nodes.join(cuts, "tree", "left"))
+    found = cut_lineage(treeparts.short_branch_clusters(marked, F.coalesce("cut_off", F.lit(float("inf")))))
+    best = outliers.largest_cluster(found, ["tree"], "part").select("tree", "part")
+    lost = found.join(best, ["tree", "part"], "left_anti").select(F.col("tree").alias("gene"), F.col("label").alias("taxon"))
+    return cut_lineage(cells.join(lost, ["gene", "taxon"], "left_anti"))
 
 
 def _store_trees(db, nodes, taxon, method, names=None, support=None):

@@ -197,6 +197,10 @@ def test_tail_cut_off(spark):
     df = spark.createDataFrame(data, "id int, length double")
     cut = outliers.tail_cut_off(df, "length", "id")
     assert max(v for i, v in data if i < 900) < cut < 9.0
+    both = df.selectExpr("'a' g", "*").union(df.where("id < 900").selectExpr("'b' g", "*")).union(
+        df.where("id < 3").selectExpr("'c' g", "id", "0D length"))
+    cuts = {r["g"]: r["cut_off"] for r in outliers.tail_cut_offs(both, ["g"], "length", "id").collect()}
+    assert cuts["a"] == pytest.approx(cut) and cuts["b"] > max(v for _, v in data[:300]) and cuts["c"] == 1.0
     calm = spark.createDataFrame(data[:300], "id int, length double")
     assert outliers.tail_cut_off(calm, "length", "id") > max(v for _, v in data[:300])
 
