@@ -1,3 +1,10 @@
 """taxaweave: sequence-supermatrix analytics expressed as Spark DataFrame jobs."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions travel to the tasks by value, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

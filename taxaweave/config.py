@@ -108,6 +108,8 @@ class Settings:
         if name in WITHOUT_EFFECT:
             warnings.warn(f"option {name} has no effect", stacklevel=2)
         value = _value(KINDS[name], text)
+        if name == "anchor_gene" and value == ["n"]:
+            value = []
         if name == "modules":
             value = [MODULE_SPELLINGS.get(m, m) for m in value]
         self.values[name] = value

@@ -108,10 +108,11 @@ def scan(records: DataFrame, profiles: list[Profile], e_value: float = 1e-7) ->
     The reverse strand is searched only where the forward strand has no hit.
     Records are spread over tasks; only the small profile set is shared.
     """
-    shared = records.sparkSession.sparkContext.broadcast(profiles)
+    plain = [(p.name, p.match, p.moves, p.mu, p.rate) for p in profiles]
+    shared = records.sparkSession.sparkContext.broadcast(plain)
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        packed = _Packed(shared.value)
+        packed = _Packed([Profile(*values) for values in shared.value])
 
         def hits(accno, sequence, reverse):
             found = []

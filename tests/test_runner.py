@@ -143,6 +143,8 @@ def test_batch_file_round_trip(project):
     again = config.read_batch(config.write_batch(settings).splitlines())
     assert again.values == settings.values
     assert config.intergenes("a,b;c") == [("a", "b", "c")]
+    assert config.read_arguments(["-d", "x", "-Q", "n"]).anchor_gene == []
+    assert config.read_arguments(["-d", "x", "-Q", "its,lsu"]).anchor_gene == ["its", "lsu"]
     with pytest.raises(ValueError):
         config.intergenes("a,b")
     with pytest.raises(ValueError):
