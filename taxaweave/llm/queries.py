@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxaweave.llm import line_rules, packing, secrets, token_counts
+from taxaweave.llm import line_rules, ngram_join, packing, secrets, token_counts
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -37,6 +37,29 @@ def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_spans(table(spark, folder, "documents"))
 
 
+OP7_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i+3], ' ')) END) AS set FROM w),
+e AS (SELECT doc_id, len(set) AS n, unnest(set) AS g FROM s),
+p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id
+    AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+r(x, y) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.x, p.y FROM r JOIN p ON p.x = r.y)
+SELECT s.doc_id, CAST(len(set) AS BIGINT) AS n_shingles, m.component_id
+FROM s JOIN (SELECT x, min(y) AS component_id FROM r GROUP BY x) m ON m.x = s.doc_id
+"""
+
+
+@query(OP7_SQL)
+def op7_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.components(table(spark, folder, "documents"), width=4, percent=85)
+
+
 @query()
 def op8_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     return line_rules.quality(table(spark, folder, "documents")).drop("host")

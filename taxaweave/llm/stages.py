@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxaweave.llm import line_rules, secrets
+from taxaweave.llm import line_rules, ngram_join, secrets
 from taxaweave.llm import packing as packer
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -19,7 +19,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return docs
+    """One document of each group of near copies: the one with the smallest id, once."""
+    groups = ngram_join.components(docs)
+    gone = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
