@@ -3,10 +3,22 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxaweave.llm import line_rules, ngram_join, packing, secrets, token_counts
+from taxaweave.llm import (
+    hnsw,
+    languages,
+    line_rules,
+    ngram_join,
+    packing,
+    rule_ensemble,
+    secret_spans,
+    shards,
+    text_statistics,
+    token_counts,
+)
+from taxaweave.llm.steps import written
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -32,9 +44,44 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def remainder(divisor: int) -> Column:
+    """crc32 of the id as text, modulo ``divisor``: chooses the held-out rows."""
+    return F.crc32(F.col("doc_id").cast("string")) % divisor
+
+
+@query()
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    labels = table(spark, folder, "labels").select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
+    rows = written(text_statistics.statistics(table(spark, folder, "documents")))
+    taught = rows.join(labels.where(remainder(5) != 0), "doc_id")
+    score = rule_ensemble.fit(taught, "quality").score()
+    return rows.select(
+        "doc_id", (remainder(5) == 0).alias("held_out"), score.alias("score"), (score >= 0.3).cast("int").alias("predicted")
+    )
+
+
 @query()
 def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
-    return secrets.secret_spans(table(spark, folder, "documents"))
+    return secret_spans.secret_spans(table(spark, folder, "documents"))
+
+
+@query()
+def op4_hnsw(spark: SparkSession, folder: str) -> DataFrame:
+    return hnsw.nearest(table(spark, folder, "embeddings"))
+
+
+@query()
+def op5_languages(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    dictionaries = languages.learn(docs.where(remainder(4) != 2))
+    return languages.identify(docs, dictionaries).select(
+        "doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score", "margin", "reliable"
+    )
+
+
+@query()
+def op6_hash_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return shards.place(table(spark, folder, "documents"))
 
 
 OP7_SQL = r"""

@@ -58,6 +58,14 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return cache.powers
 
 
+def _letters() -> np.ndarray:
+    """A random-looking number for every code point."""
+    cache = worker_cache()
+    if not hasattr(cache, "letters"):
+        cache.letters = mix(np.arange(1, 0x110001, dtype=np.uint64))
+    return cache.letters
+
+
 @dataclass
 class Chunk:
     """Rows ``first`` to ``first + rows`` of a batch as code points."""
@@ -107,7 +115,7 @@ class Chunk:
 
     def prefix(self, code: np.ndarray | None = None) -> np.ndarray:
         """Sums from which :func:`span_hashes` reads the hash of any span."""
-        values = mix((self.code if code is None else code).astype(np.uint64) + np.uint64(1))
+        values = _letters()[self.code if code is None else code]
         values *= _powers(len(values))[0][: len(values)]
         sums = np.zeros(len(values) + 1, np.uint64)
         np.cumsum(values, out=sums[1:])

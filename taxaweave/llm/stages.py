@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxaweave.llm import line_rules, ngram_join, secrets
+from taxaweave.llm import line_rules, ngram_join, secret_spans
 from taxaweave.llm import packing as packer
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -27,7 +27,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The same documents with secrets masked; ``n_chars`` follows the text."""
-    clean = secrets.mask_secrets(docs)
+    clean = secret_spans.mask_secrets(docs)
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return clean
