@@ -10,6 +10,7 @@ from taxaweave.llm import (
     hnsw,
     languages,
     line_rules,
+    mixing,
     ngram_join,
     packing,
     rule_ensemble,
@@ -115,3 +116,18 @@ def op8_line_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
+
+
+def domain() -> Column:
+    """The domain of a labelled row; null where a label is missing."""
+    return F.when(F.col("quality") == 0, "junk").when((F.col("quality") == 1) & (F.col("toxic") == 1), "toxic").when(
+        (F.col("quality") == 1) & (F.col("toxic") == 0), "clean")
+
+
+#: Wanted shares of the tokens.
+TARGETS = {"clean": 0.95, "toxic": 0.03, "junk": 0.02}
+
+
+@query()
+def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"), table(spark, folder, "labels"), domain(), TARGETS)

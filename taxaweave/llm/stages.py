@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxaweave.llm import line_rules, ngram_join, secret_spans
+from taxaweave.llm import mixing as mixing_
 from taxaweave.llm import packing as packer
+from taxaweave.llm.queries import TARGETS, domain
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -34,7 +36,11 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return docs
+    """Every document as often as its rate says; what the mixture wants none of goes."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    copies = mixing_.mix(docs, labels, domain(), TARGETS).groupBy("doc_id").agg(F.max("copies").alias("copies")).where("copies > 0")
+    again = F.explode(F.sequence(F.lit(1), F.col("copies")))
+    return docs.join(copies.select("doc_id", again.alias("taxaweave_copy")), "doc_id").select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
