@@ -12,9 +12,9 @@ shared. The work goes in four steps, all exact:
    collapse here, without pairs among their members.
 3. *Tiles.* Keys that still hold several components are laid out as tiles (large ones
    in blocks). In a tile, the bits in which two hashed bitmaps differ bound the
-   overlap from above; per node and other component the best pair under the bound goes on.
-4. *Intersection* of the sorted arrays of a pair decides. A pair that fails is
-   remembered and the tiles run again, until none fails.
+   overlap from above; per node and other component the closest pairs under the bound go on.
+4. *Intersection* of the sorted arrays of a pair decides. Where all tried pairs of a node
+   fail and more pass the bound, its tiles run again for more, until none is left.
 
 Nulls and odd rows: a null or wordless text has an empty set and links with nothing;
 fewer words than ``width`` make one shingle; repeated rows, also of one ``doc_id``, link as equal
@@ -39,7 +39,9 @@ LARGEST = 1 << 40
 #: Bits of the sieve of candidate ids, whatever their number.
 SIEVE = 1 << 22
 TILE = 1024
-LEAST_BITS, MOST_BITS = 256, 16384
+LEAST_BITS, MOST_BITS, BITS_PER_SHINGLE = 256, 1 << 15, 8
+#: Closest pairs of a node with each other component that are tried at first, and how many times more in each further round.
+FIRST, MORE = 8, 8
 
 
 def _edges() -> np.ndarray:
@@ -170,7 +172,7 @@ def _sieved_sets(width: int, sieve):
 def bitmap(hashes: np.ndarray) -> np.ndarray:
     """Hashed bitmap whose width follows the size; the half of it is the bitmap of half the width."""
     width = LEAST_BITS
-    while width < min(4 * len(hashes), MOST_BITS):
+    while width < min(BITS_PER_SHINGLE * len(hashes), MOST_BITS):
         width *= 2
     bits = np.zeros(width, np.uint8)
     bits[(hashes >> np.uint64(64 - width.bit_length() + 1)).astype(np.int64)] = 1
@@ -178,56 +180,95 @@ def bitmap(hashes: np.ndarray) -> np.ndarray:
 
 
 def folded(bits: np.ndarray, words: int) -> np.ndarray:
-    """The same set's bitmap with fewer words: neighbouring bits are joined."""
-    while len(bits) > words:
-        one = np.unpackbits(bits.view(np.uint8), bitorder="little")
-        bits = np.packbits(one[0::2] | one[1::2], bitorder="little").view(np.uint64)
+    """The same sets' bitmaps (one or a table of them) with fewer words: neighbouring bits are joined."""
+    while bits.shape[-1] > words:
+        one = np.unpackbits(np.ascontiguousarray(bits).view(np.uint8), axis=-1, bitorder="little")
+        bits = np.packbits(one[..., 0::2] | one[..., 1::2], axis=-1, bitorder="little").view(np.uint64)
     return bits
 
 
-def _best_pairs(group: np.ndarray, data: dict[str, np.ndarray], bits: list[bytes], failed: list, percent: int) -> list[tuple[int, int]]:
-    """Pairs of one tile under the bound: for each node and other component the closest."""
-    words = min(len(bits[i]) for i in group) // 8
-    maps = np.stack([folded(np.frombuffer(bits[i], np.uint64), words) for i in group])
-    node, size, component, block = (data[k][group] for k in ("node", "size", "component", "block"))
-    crossing = block.min() != block.max()
-    out = []
-    for i in range(len(group) - 1):
-        other = np.flatnonzero(component[i + 1 :] != component[i]) + i + 1
-        if crossing:
-            other = other[block[other] != block[i]]
-        total = size[other] + size[i]
-        differ = np.bitwise_count(maps[other] ^ maps[i]).sum(axis=1, dtype=np.int64)
-        good = (100 + percent) * ((total - differ) // 2) >= percent * total
-        good &= np.minimum(size[other], size[i]) * 100 >= percent * np.maximum(size[other], size[i])
-        other, share = other[good], (differ / total)[good]
-        tried = failed[group[i]]
-        tried = set(tried) if tried is not None else ()
-        seen = set()
-        for k in np.lexsort((node[other], share)):
-            j = other[k]
-            if component[j] not in seen and int(node[j]) not in tried and int(node[i]) not in (failed[group[j]] or ()):
-                seen.add(component[j])
-                out.append((int(node[i]), int(node[j])))
+def _maps(bits: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All bitmaps of a column one after another, with the start and the number of words of each."""
+    column = bits.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    words = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].copy().view(np.uint64)
+    return words, (offsets[:-1] - offsets[0]) // 8, np.diff(offsets) // 8
+
+
+def differing_bits(maps: tuple[np.ndarray, np.ndarray, np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Bits in which the bitmaps of each pair differ, at the width of the narrower one."""
+    words, start, width = maps
+    out = np.zeros(len(left), np.int64)
+    shapes = width[left] * 4096 + width[right]
+    for shape in np.unique(shapes):
+        own = np.flatnonzero(shapes == shape)
+        w, v = divmod(int(shape), 4096)
+        for k in range(0, len(own), max(1, 1 << 21 >> max(w, v).bit_length())):  # some 16 MB at a time
+            part = own[k : k + max(1, 1 << 21 >> max(w, v).bit_length())]
+            x = words[start[left[part]][:, None] + np.arange(w)]
+            y = words[start[right[part]][:, None] + np.arange(v)]
+            x, y = folded(x, min(w, v)), folded(y, min(w, v))
+            out[part] = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
     return out
 
 
-def _tile_pairs(percent: int):
+def tile_survivors(tile, node, size, component, block, maps, percent: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows of one tile and different components that pass the bound.
+
+    For each left node and right component the ``most`` closest are given; the third
+    array tells whether there are more. Rows stand by tile and node.
+    """
+    n = len(tile)
+    ends = np.searchsorted(tile, tile, "right")
+    later = ends - np.arange(n) - 1
+    crossing = np.zeros(n, bool)  # a tile of two blocks: only pairs between them
+    cuts = np.flatnonzero(np.diff(tile, prepend=tile[0] - 1))
+    crossing = np.repeat(np.minimum.reduceat(block, cuts) != np.maximum.reduceat(block, cuts), np.diff(np.append(cuts, n)))
+    found: list[tuple[np.ndarray, ...]] = []
+    sums = np.cumsum(later)
+    first = 0
+    while first < n:
+        last = max(first + 1, int(np.searchsorted(sums, (sums[first - 1] if first else 0) + (1 << 20), "right")))
+        count = later[first:last]
+        left = np.repeat(np.arange(first, last), count)
+        right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(count) - count, count)
+        first = last
+        ok = (component[left] != component[right]) & (~crossing[left] | (block[left] != block[right])) & (node[left] != node[right])
+        ok &= np.minimum(size[left], size[right]) * 100 >= percent * np.maximum(size[left], size[right])
+        left, right = left[ok], right[ok]
+        # The same pair may stand in many tiles.
+        order = np.lexsort((node[right], node[left]))
+        left, right = left[order], right[order]
+        new = np.ones(len(left), bool)
+        new[1:] = (node[left][1:] != node[left][:-1]) | (node[right][1:] != node[right][:-1])
+        left, right = left[new], right[new]
+        differ, total = differing_bits(maps, left, right), size[left] + size[right]
+        good = (100 + percent) * ((total - differ) // 2) >= percent * total
+        found.append((node[left[good]], node[right[good]], component[right[good]], (differ / np.maximum(total, 1))[good]))
+    a, b, c, share = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((b, share, c, a))
+    a, b, c = a[order], b[order], c[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (c[1:] != c[:-1])
+    a, b, c = a[new], b[new], c[new]
+    starts = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (c[1:] != c[:-1])])) if len(a) else np.zeros(0, np.int64)
+    sizes = np.diff(np.append(starts, len(a)))
+    rank = np.arange(len(a)) - np.repeat(starts, sizes)
+    keep = rank < most
+    return a[keep], b[keep], np.repeat(sizes > most, sizes)[keep]
+
+
+def _tile_pairs(percent: int, most: int):
     """Rows come sorted by tile; a tile may go on in the next batch."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
 
-        def flush(table: pa.Table, stop: int) -> pa.RecordBatch:
-            table = table.slice(0, stop)
-            data = {k: table.column(k).to_numpy() for k in ("tile", "node", "size", "component", "block")}
-            bits, failed = table.column("bits").to_pylist(), table.column("failed").to_pylist()
-            cuts = np.flatnonzero(np.diff(data["tile"])) + 1
-            pairs: list[tuple[int, int]] = []
-            for group in np.split(np.arange(stop), cuts):
-                if len(group) > 1:
-                    pairs += _best_pairs(group, data, bits, failed, percent)
-            left, right = zip(*set(pairs), strict=True) if pairs else ((), ())
-            return pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+        def flush(table: pa.Table) -> pa.RecordBatch:
+            table = table.combine_chunks()
+            names = ("tile", "node", "size", "component", "block")
+            bits = table.column("bits").combine_chunks() if table.column("bits").num_chunks != 1 else table.column("bits").chunk(0)
+            columns = tile_survivors(*(table.column(k).to_numpy() for k in names), _maps(bits), percent, most)
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["a", "b", "more"])
 
         for batch in batches:
             table = pa.Table.from_batches([batch])
@@ -235,10 +276,10 @@ def _tile_pairs(percent: int):
             tiles = rest.column("tile").to_numpy()
             last = int(np.searchsorted(tiles, tiles[-1])) if len(tiles) else 0
             if last:
-                yield flush(rest, last)
+                yield flush(rest.slice(0, last))
                 rest = rest.slice(last)
         if rest is not None and rest.num_rows:
-            yield flush(rest, rest.num_rows)
+            yield flush(rest)
 
     return scan
 
@@ -306,42 +347,48 @@ def links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame
     hubs = shared.groupBy("key").agg(F.min("node").alias("hub"))
     first = (
         shared.join(hubs, "key").where("node <> hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("node").agg(F.max_by("hub", F.struct("n", "hub")).alias("b")).select(F.col("node").alias("a"), "b")
+        .groupBy("node").agg(F.max_by("hub", F.struct("n", "hub")).alias("b")).select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
     )
     tested = written(_verified(first, sets, percent))
+    most, pending = FIRST, None
     while True:
         edges = tested.where("links").select("a", "b")
-        pairs = written(_tiles(shared, sets, edges, tested, percent))
-        if pairs.isEmpty():
-            break
-        now = written(_verified(pairs, sets, percent))
+        keys = shared if pending is None else shared.join(shared.join(pending, "node").select("key").distinct(), "key", "left_semi")
+        found = written(_tiles(keys, sets, edges, percent, most))
+        now = written(_verified(found.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), sets, percent))
         tested = written(tested.unionByName(now))
-        if now.where("not links").isEmpty():
+        # Where a node's closest pairs have failed, there may be a link among the rest.
+        failed = found.where("more").join(tested.where("links"), ["a", "b"], "left_anti")
+        pending = written(failed.select(F.col("a").alias("node")).distinct())
+        if pending.isEmpty():
             break
+        most *= MORE
     return scanned.select("doc_id", "n_shingles", "node"), tested.where("links").select("a", "b")
 
 
-def _tiles(shared: DataFrame, sets: DataFrame, edges: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
+def _tiles(shared: DataFrame, sets: DataFrame, edges: DataFrame, percent: int, most: int) -> DataFrame:
     """Pairs to intersect next, from keys that hold more than one component."""
     merged = connected_components(edges, "a", "b")
-    labelled = shared.join(merged, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = written(shared.join(merged, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")))
+    # Keys with the same members make one tile.
     open_keys = (
-        labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"))
-        .where("low <> high").select("key", F.ceil(F.col("members") / TILE).cast("int").alias("blocks"))
+        labelled.groupBy("key").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"),
+            F.bit_xor(F.xxhash64("node")).alias("who"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("who_else"),
+        ).where("low <> high").groupBy("members", "who", "who_else").agg(F.min("key").alias("key"))
+        .select("key", F.ceil(F.col("members") / TILE).cast("int").alias("blocks"))
     )
-    failed = tested.where("not links").groupBy("a").agg(F.collect_set("b").alias("failed")).withColumnRenamed("a", "node")
     own = F.pmod(F.hash("node"), "blocks")
     laid = (
-        labelled.select("key", "node", "component").join(open_keys, "key").withColumn("block", own)
+        labelled.join(open_keys, "key").withColumn("block", own)
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("tile", F.xxhash64("key", F.least("block", "with"), F.greatest("block", "with")))
         .select("tile", "node", "component", "block")
     )
     return (
-        laid.join(sets.select("node", "size", "bits"), "node").join(failed, "node", "left")
-        .select("tile", "node", "size", "component", "block", "bits", "failed")
+        laid.join(sets.select("node", "size", "bits"), "node").select("tile", "node", "size", "component", "block", "bits")
         .repartition("tile").sortWithinPartitions("tile", "node")
-        .mapInArrow(_tile_pairs(percent), "a long, b long").distinct()
+        .mapInArrow(_tile_pairs(percent, most), "a long, b long, more boolean")
     )
 
 

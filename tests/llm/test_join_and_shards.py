@@ -72,7 +72,7 @@ def test_bitmaps_bound_the_overlap():
         a = draw.integers(0, 2**63, size, dtype=np.uint64) * np.uint64(2)
         b = np.concatenate([a[: size * 9 // 10], draw.integers(0, 2**63, size // 10, dtype=np.uint64)])
         maps = [ngram_join.bitmap(np.sort(x)) for x in (a, b)]
-        for words in {len(maps[0]), ngram_join.LEAST_BITS // 64}:
+        for words in {min(map(len, maps)), ngram_join.LEAST_BITS // 64}:
             x, y = (ngram_join.folded(m, words) for m in maps)
             assert int(np.bitwise_count(x ^ y).sum()) <= len(set(a.tolist()) ^ set(b.tolist()))
 
