@@ -13,7 +13,7 @@ from itertools import groupby
 from operator import itemgetter
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from taxaweave.operators.components import connected_components
@@ -21,8 +21,8 @@ from taxaweave.session import cut_lineage
 
 # Most edges of a component that one task solves.
 EDGES_PER_TASK = 20_000
-# Weights are compared in these steps by the auction: halves when they suffice.
-COARSE_STEP, FINE_STEP = 0.5, 1e-3
+# Decimals of a weight that are told apart; weights that need more are refused.
+DECIMALS = 6
 
 
 def max_weight_matching(
@@ -41,7 +41,7 @@ def max_weight_matching(
         )
     else:
         positive = positive.withColumn("n1", F.lit(1).cast("long")).withColumn("n2", F.lit(1).cast("long"))
-    positive = cut_lineage(positive.select("src", "dst", "weight", "n1", "n2"))
+    positive = cut_lineage(_whole(positive).select("src", "dst", "weight", "n1", "n2"))
 
     left = F.struct(F.lit(0).alias("side"), F.col("src").cast("string").alias("id"))
     right = F.struct(F.lit(1).alias("side"), F.col("dst").cast("string").alias("id"))
@@ -70,6 +70,23 @@ def max_weight_matching(
     return found.unionByName(_by_auction(large).select("src", "dst", "units"))
 
 
+def _whole(edges: DataFrame) -> DataFrame:
+    """``edges`` with whole-numbered weights in the finest decimal unit that any of them has.
+
+    Sums of whole numbers are exact in every order, so all ways of solving agree
+    on the total.
+    """
+    def unit_fits(k: int) -> Column:
+        scaled = F.col("weight") * float(10**k)
+        return F.max(F.abs(scaled - F.round(scaled)) > 1e-9 * F.abs(scaled)).alias(f"u{k}")
+
+    facts = edges.agg(F.max("weight").alias("most"), *[unit_fits(k) for k in range(DECIMALS + 1)]).first()
+    fit = [k for k in range(DECIMALS + 1) if not facts[f"u{k}"]]
+    if not fit or (facts["most"] or 0) * 10 ** fit[0] > 2**40:
+        raise ValueError(f"weights need at most {DECIMALS} decimals and must not exceed 2^40 of their unit")
+    return edges.withColumn("weight", F.round(F.col("weight") * float(10 ** fit[0])).cast("long"))
+
+
 def _solve_all(rows: pd.DataFrame) -> pd.DataFrame:
     """Solve the components of one task, one after the other."""
     rows = rows.sort_values(["component", "src", "dst"])
@@ -86,12 +103,12 @@ def _solve(edges: list[tuple]) -> list[tuple]:
     right = {v: i + len(left) for i, v in enumerate(dict.fromkeys(e[1] for e in edges))}
     free = {left[e[0]]: e[3] for e in edges}
     free.update({right[e[1]]: e[4] for e in edges})
-    ahead: dict[int, dict[int, float]] = {i: {} for i in left.values()}
+    ahead: dict[int, dict[int, int]] = {i: {} for i in left.values()}
     back: dict[int, dict[int, int]] = {j: {} for j in right.values()}
     for s, t, w, _, _ in edges:
         ahead[left[s]][right[t]] = w
     while True:
-        gain = {i: 0.0 for i in ahead if free[i] > 0}
+        gain = {i: 0 for i in ahead if free[i] > 0}
         came: dict[int, int] = {}
         queue, queued = deque(gain), set(gain)
         while queue:
@@ -103,13 +120,13 @@ def _solve(edges: list[tuple]) -> list[tuple]:
                 steps = ((i, -ahead[i][node]) for i, n in back[node].items() if n > 0)
             for other, weight in steps:
                 value = gain[node] + weight
-                if value > gain.get(other, float("-inf")) + 1e-9:
+                if value > gain.get(other, float("-inf")):
                     gain[other], came[other] = value, node
                     if other not in queued:
                         queue.append(other)
                         queued.add(other)
-        best = max(((gain[j], -j) for j in back if j in gain and free[j] > 0), default=(0.0, 0))
-        if best[0] <= 1e-9:
+        best = max(((gain[j], -j) for j in back if j in gain and free[j] > 0), default=(0, 0))
+        if best[0] <= 0:
             break
         end = -best[1]
         path = [end]
@@ -138,10 +155,8 @@ def _by_auction(edges: DataFrame) -> DataFrame:
     The graph is doubled so that everyone finds a partner: each node may also
     take its own mirror image for nothing. Prices carry over between phases;
     the last step is below one unit over the number of nodes, which makes the
-    outcome optimal for weights in multiples of the weight step.
+    outcome optimal for whole weights.
     """
-    odd = edges.where(F.col("weight") % COARSE_STEP != 0)
-    weight_step = COARSE_STEP if odd.isEmpty() else FINE_STEP
     copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("n1")))
     units = edges.select("src", "dst", "weight", "n2", copies.alias("i")).select(
         "src", "dst", "weight", "i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n2"))).alias("j")
@@ -151,7 +166,7 @@ def _by_auction(edges: DataFrame) -> DataFrame:
         return F.struct(F.lit(side).alias("side"), F.col(name).cast("string").alias("id"), F.col(number).alias("u"))
 
     whole = units.select(
-        node(0, "src", "i").alias("t"), node(1, "dst", "j").alias("c"), F.round(F.col("weight") / weight_step).cast("long").alias("w")
+        node(0, "src", "i").alias("t"), node(1, "dst", "j").alias("c"), F.col("weight").alias("w")
     )
     nodes = whole.select(F.col("t").alias("v")).union(whole.select(F.col("c").alias("v"))).distinct()
     count = nodes.count()

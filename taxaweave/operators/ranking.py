@@ -51,6 +51,11 @@ def _range_of(df: DataFrame, order: Column, ranges: int) -> Column:
     return choose(0, len(bounds))
 
 
+def _ranges(df: DataFrame, rows_per_task: int) -> int:
+    """As many ranges as hold a quarter of ``rows_per_task`` rows each on average."""
+    return max(64, -(-4 * df.count() // max(1, rows_per_task)))
+
+
 def _literal(value, dtype) -> Column:
     if hasattr(dtype, "fields"):
         return F.struct(*[
@@ -65,7 +70,7 @@ def number_rows(
     groups: Sequence[str] = (),
     name: str = "rank",
     rows_per_task: int = ROWS_PER_TASK,
-    ranges: int = 64,
+    ranges: int | None = None,
 ) -> DataFrame:
     """``row_number`` over ``groups`` by ascending ``order`` (which must be total)."""
     groups = list(groups)
@@ -76,7 +81,7 @@ def number_rows(
         return df.withColumn(name, F.row_number().over(window).cast("long"))
 
     key = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(by)])
-    ranged = df.withColumn("_range", _range_of(df, key, ranges))
+    ranged = df.withColumn("_range", _range_of(df, key, ranges or _ranges(df, rows_per_task)))
     counts = ranged.groupBy(*groups, "_range").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
@@ -130,7 +135,7 @@ def exact_median(
 
 def running_sum(
     df: DataFrame, value: str, order: Sequence[str], groups: Sequence[str] = (),
-    name: str = "running", rows_per_task: int = ROWS_PER_TASK, ranges: int = 64,
+    name: str = "running", rows_per_task: int = ROWS_PER_TASK, ranges: int | None = None,
 ) -> DataFrame:
     """Cumulative sum per group in ``order``, with the same range split as ``number_rows``."""
     groups = list(groups)
@@ -139,7 +144,7 @@ def running_sum(
         window = Window.partitionBy(*groups).orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(name, F.sum(value).over(window))
     key = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(by)])
-    ranged = df.withColumn("_range", _range_of(df, key, ranges))
+    ranged = df.withColumn("_range", _range_of(df, key, ranges or _ranges(df, rows_per_task)))
     sums = ranged.groupBy(*groups, "_range").agg(F.sum(value).alias("_s"))
     earlier = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.withColumn("_before", F.coalesce(F.sum("_s").over(earlier), F.lit(0))).drop("_s")

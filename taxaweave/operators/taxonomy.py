@@ -45,11 +45,11 @@ def parent_conflicts(counts: DataFrame) -> DataFrame:
     return others.join(several, "child", "left_semi")
 
 
-def root_paths(parents: DataFrame, max_depth: int = 64) -> DataFrame:
-    """(taxon, path) from the root down; a cycle ends where it would repeat a taxon."""
+def root_paths(parents: DataFrame) -> DataFrame:
+    """(taxon, path) from the root down, however deep; a cycle ends where it would repeat a taxon."""
     current = parents.select(F.col("child").alias("taxon"), F.array("child").alias("path"), F.lit(True).alias("open"))
     current = cut_lineage(current)
-    for _ in range(max_depth):
+    while True:
         head = F.element_at("path", 1)
         step = current.where("open").withColumn("child", head).join(parents, "child", "left")
         onward = F.col("parent").isNotNull() & (F.col("parent") != ROOT) & ~F.array_contains("path", F.col("parent"))

@@ -194,7 +194,7 @@ def _similar(rows, s):
     limit = cut_off_for(F.col("gene"), cut_offs(s.sim_cut_off))
     texts = similarity.distinct_texts(rows, "gene", "accno", "sequence")
     copies = similarity.copy_links(rows, "gene", "accno", "sequence")
-    return texts, similarity.similar_pairs(texts, limit, q=12), copies
+    return texts, similarity.similar_pairs(texts, limit), copies
 
 
 def similarity_cluster(db, s):
@@ -226,7 +226,7 @@ def tree_clustering(db, s):
         links.append(same)
     if both or kind.startswith("si"):
         texts = similarity.distinct_texts(few, "tree", "accno", "sequence").withColumn("gene", F.split_part("tree", F.lit("|"), F.lit(1)))
-        links.append(similarity.similar_pairs(texts, limit, "tree", q=12).select("src", "dst"))
+        links.append(similarity.similar_pairs(texts, limit, "tree").select("src", "dst"))
         links.append(similarity.copy_links(few, "tree", "accno", "sequence").select("src", "dst"))
     nodes = cut_lineage(trees.build_trees(align.align(many.select("tree", "accno", "sequence"), ["tree"]), "accno"))
     if both or kind.startswith("si"):
@@ -596,7 +596,10 @@ def main(arguments=None) -> None:
         print(config.write_batch(settings), end="")
     for module, report in run(build_session(), settings).items():
         print(f"## {module}")
-        report.show(1000, truncate=False)
+        print("\t".join(report.columns))
+        # Row by row: a report may be longer than the driver's memory.
+        for row in report.toLocalIterator():
+            print("\t".join("" if value is None else str(value) for value in row))
 
 
 if __name__ == "__main__":

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 MAX_BYTES = 64 * 1024 * 1024
 # Log-probability that stands for "impossible" in a profile.
@@ -57,7 +58,7 @@ def _profile(lines: list[str]) -> Profile:
 
 def read_profiles(spark: SparkSession, path: str) -> list[Profile]:
     found = spark.read.format("binaryFile").load(path).select("length", "content")
-    size = sum(row["length"] for row in found.select("length").limit(1000).collect())
+    size = found.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
     if size > MAX_BYTES:
         raise ValueError(f"profile file of {size} bytes exceeds {MAX_BYTES}")
     return [p for row in found.select("content").collect() for p in parse_profiles(row["content"].decode())]

@@ -82,12 +82,14 @@ def evolve(rng, names, length=300):
     return grow("".join(rng.choice("ACGT") for _ in range(length)), names)
 
 
-@pytest.mark.parametrize("block", [200, 4])
-def test_distance_tree(spark, block):
+@pytest.mark.parametrize("parts", [1, 5])
+def test_distance_tree(spark, parts):
     names = [f"t{i:02d}" for i in range(16)]
     data = evolve(random.Random(2), names)
-    df = spark.createDataFrame([("g", k, s) for k, s in data.items()], "tree string, taxon string, sequence string").withColumn("o", F.col("taxon"))
-    nodes = trees.build_trees(df, order="o", max_block=block).cache()
+    df = spark.createDataFrame([("g", k, s) for k, s in data.items()], "tree string, taxon string, sequence string")
+    with pytest.raises(ValueError, match="max_taxa"):
+        trees.build_trees(df, max_taxa=15)
+    nodes = trees.build_trees(df.repartition(parts)).cache()
     rows = nodes.collect()
     assert sorted(r["label"] for r in rows if r["label"]) == names
     assert sum(r["parent"] is None for r in rows) == 1

@@ -43,6 +43,19 @@ def test_auction_equals_brute_force(spark):
     assert weight(edges, max_weight_matching(df, edges_per_task=0).collect()) == brute_force(edges)
 
 
+@pytest.mark.parametrize("bound", [20_000, 0])
+def test_fine_weights(spark, bound):
+    edges = [("a", "x", 0.0004), ("a", "y", 0.0001), ("b", "x", 0.0001)]
+    df = spark.createDataFrame(edges, "src string, dst string, weight double")
+    assert weight(edges, max_weight_matching(df, edges_per_task=bound).collect()) == brute_force(edges)
+
+
+def test_weights_too_fine_are_refused(spark):
+    df = spark.createDataFrame([("a", "x", 1e-9)], "src string, dst string, weight double")
+    with pytest.raises(ValueError, match="decimals"):
+        max_weight_matching(df)
+
+
 def test_capacities(spark):
     edges = spark.createDataFrame([("a", "x", 2.0), ("a", "y", 1.0), ("b", "x", 2.0)], "src string, dst string, weight double")
     left = spark.createDataFrame([("a", 5), ("b", 2)], "src string, n long")
