@@ -15,14 +15,17 @@ def site_counts(cells: DataFrame) -> DataFrame:
     """(gene, pos, rows, top, gaps): most frequent base and gaps per site, pos from 1.
 
     Only bases are exploded; gaps, also those after the end of a shorter row,
-    are what is missing from the number of rows.
+    are what is missing from the number of rows. Sites where no row has a base
+    are there too, so that runs of sites stay together across them.
     """
-    rows = cells.groupBy("gene").agg(F.count(F.lit(1)).alias("rows"))
+    rows = cells.groupBy("gene").agg(F.count(F.lit(1)).alias("rows"), F.max(F.length("sequence")).alias("last"))
+    every = rows.where("last > 0").select("gene", "rows", F.explode(F.sequence(F.lit(0), F.col("last") - 1)).alias("i"))
     sites = cells.select("gene", F.posexplode(F.split("sequence", "")).alias("i", "base"))
     letters = sites.where("base <> '' AND base <> '-'").groupBy("gene", "i", "base").agg(F.count(F.lit(1)).alias("n"))
     per_site = letters.groupBy("gene", "i").agg(F.max("n").alias("top"), F.sum("n").alias("bases"))
-    return per_site.join(rows, "gene").select(
-        "gene", (F.col("i") + 1).alias("pos"), "rows", "top", (F.col("rows") - F.col("bases")).alias("gaps")
+    return every.join(per_site, ["gene", "i"], "left").select(
+        "gene", (F.col("i") + 1).alias("pos"), "rows", F.coalesce("top", F.lit(0)).alias("top"),
+        (F.col("rows") - F.coalesce("bases", F.lit(0))).alias("gaps"),
     )
 
 

@@ -70,7 +70,8 @@ def merge_clusters(sequences: DataFrame, links: DataFrame) -> DataFrame:
 def cluster_individuals(sequences: DataFrame, min_length: int) -> DataFrame:
     """Cluster the long enough sequences of one gene and individual.
 
-    ``sequences`` has gene, accno, individual, length, score and lead.
+    ``sequences`` has gene, accno, individual, length, score and lead. A record
+    without individual leads its own cluster, in the first run as in later ones.
     """
     long_enough = sequences.where(F.col("length") >= min_length)
     if sequences.where("lead IS NOT NULL").isEmpty():
@@ -79,7 +80,7 @@ def cluster_individuals(sequences: DataFrame, min_length: int) -> DataFrame:
         ).select("gene", "individual", F.col("lead").alias("_new"))
         joined = sequences.join(leads, ["gene", "individual"], "left")
         return joined.withColumn(
-            "lead", F.when(F.col("length") >= min_length, F.col("_new"))
+            "lead", F.when(F.col("length") >= min_length, F.coalesce("_new", "accno"))
         ).select(*sequences.columns)
     first = long_enough.groupBy("gene", "individual").agg(F.min("accno").alias("dst"))
     links = (

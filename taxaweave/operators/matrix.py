@@ -136,7 +136,7 @@ def decisiveness(taxon_genes: DataFrame, draws: int = 1000, seed: int = 1, size:
     """(draws, decisive): how many random sets of ``size`` taxa share a gene.
 
     The sample is the operator: a fixed number of draws, each naming taxa by
-    rank through a congruential generator, so a run can be repeated.
+    rank through a hash of seed, draw and place, so a run can be repeated.
     """
     from taxaweave.operators.ranking import number_rows
 
@@ -144,10 +144,11 @@ def decisiveness(taxon_genes: DataFrame, draws: int = 1000, seed: int = 1, size:
     ranked = number_rows(cells.select(taxon).distinct(), [taxon], name="rank")
     spark = cells.sparkSession
     total = ranked.agg(F.count(F.lit(1)).alias("_n"))
+    number = F.conv(F.substring(F.md5(F.concat_ws("/", F.lit(seed), "draw", "k")), 1, 12), 16, 10).cast("long")
     drawn = spark.range(draws).select(
         F.col("id").alias("draw"), F.explode(F.sequence(F.lit(1), F.lit(size))).alias("k")
     ).crossJoin(F.broadcast(total)).select(
-        "draw", ((((F.col("draw") * 7919 + F.col("k") * 104729 + seed) * 48271) % 2147483647) % F.col("_n") + 1).alias("rank")
+        "draw", (number % F.col("_n") + 1).alias("rank")
     ).distinct()
     sizes = drawn.groupBy("draw").agg(F.count(F.lit(1)).alias("size"))
     shared = drawn.join(ranked, "rank").join(cells, taxon).groupBy("draw", "gene").agg(F.count(F.lit(1)).alias("n"))

@@ -133,7 +133,7 @@ def tip_differences(spark, d):
 WITH x AS (SELECT DISTINCT o_custkey AS taxon, o_orderpriority AS gene FROM orders),
 k AS (SELECT taxon, row_number() OVER (ORDER BY taxon) AS rank FROM x GROUP BY taxon),
 n AS (SELECT count(*) AS n FROM k),
-w AS (SELECT DISTINCT i AS draw, (((i * 7919 + j * 104729 + 1) * 48271) % 2147483647) % n + 1 AS rank
+w AS (SELECT DISTINCT i AS draw, ('0x' || substr(md5('1/' || i || '/' || j), 1, 12))::BIGINT % n + 1 AS rank
       FROM range(1000) a(i), range(1, 5) b(j), n),
 s AS (SELECT draw, count(*) AS size FROM w GROUP BY draw),
 g AS (SELECT draw, gene, count(*) AS c FROM w JOIN k USING (rank) JOIN x USING (taxon) GROUP BY draw, gene),

@@ -57,15 +57,18 @@ def taxon_outlier_keep_largest(spark, d):
     return outliers.largest_cluster(table(spark, d, "events"), ["event_type"], "user_id")
 
 
-# Each text is a row of its language's alignment, with gaps after its end; all
-# letters count as one base, so that sites agree.
+# Each text is a row of its language's alignment, with gaps after its end; letters
+# count as one of two bases, so that sites agree, and every ninth site has gaps only.
 ALIGNED = """
-t AS (SELECT doc_id, lang AS gene, regexp_replace(text, '[^ .\\n]', 'A', 'g') AS s FROM documents),
+t AS (SELECT doc_id, lang AS gene, regexp_replace(regexp_replace(regexp_replace(text, '[qxz-]', 'C', 'g'), '[^ .\\nC]', 'A', 'g'),
+        '(.{{8}}).', '\\1-', 'gs') AS s FROM documents),
 l AS (SELECT gene, max(length(s)) AS len, count(*) AS n FROM t GROUP BY gene),
 e AS (SELECT gene, unnest(string_split(s, '')) AS base, unnest(range(1, length(s) + 1)) AS pos FROM t),
-b AS (SELECT gene, pos, base, count(*) AS k FROM e GROUP BY ALL),
-q AS (SELECT gene, pos, max(k) AS top, sum(k) AS present FROM b GROUP BY ALL),
-v AS (SELECT q.gene, pos, n - present > n / 2.0 AS gapped, top >= n // 2 + 1 AS strong, top >= ceil(n * 0.85) AS best
+b AS (SELECT gene, pos, base, count(*) AS k FROM e WHERE base <> '-' GROUP BY ALL),
+q0 AS (SELECT gene, pos, max(k) AS top, sum(k) AS present FROM b GROUP BY ALL),
+q AS (SELECT gene, pos, coalesce(top, 0) AS top, coalesce(present, 0) AS present
+      FROM (SELECT gene, unnest(range(1, len + 1)) AS pos FROM l) LEFT JOIN q0 USING (gene, pos)),
+v AS (SELECT q.gene, pos, false AS gapped, top >= n // 2 + 1 AS strong, top >= ceil(n * 0.85) AS best
       FROM q JOIN l ON q.gene = l.gene),
 c AS (SELECT gene, pos, gapped, NOT gapped AND strong AS ok, NOT gapped AND strong AND best AS high FROM v)
 """
@@ -90,7 +93,8 @@ k9 AS (SELECT gene, pos, count(*) OVER (PARTITION BY gene, g) AS n FROM k8)
 SELECT gene, pos::BIGINT AS pos FROM k9 WHERE n >= 10
 """)
 def block_filter(spark, d):
-    letters = F.regexp_replace("text", r"[^ .\n]", "A")
+    letters = F.regexp_replace(F.regexp_replace("text", "[qxz-]", "C"), r"[^ .\nC]", "A")
+    letters = F.regexp_replace(letters, r"(?s)(.{8}).", "$1-")
     documents = table(spark, d, "documents").select(F.col("lang").alias("gene"), letters.alias("sequence"))
     sites = cut_lineage(blocks.site_counts(documents))
-    return blocks.conserved_sites(sites, gaps="h").select("gene", F.col("pos").cast("long").alias("pos"))
+    return blocks.conserved_sites(sites, gaps="a").select("gene", F.col("pos").cast("long").alias("pos"))

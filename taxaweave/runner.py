@@ -50,11 +50,19 @@ class Database:
         return self.spark.table(f"{self.name}.{table}")
 
     def replace(self, table: str, df: DataFrame) -> None:
-        """Write the new version beside the old one, then take its place."""
-        fresh = f"{self.name}.{table}_{uuid.uuid4().hex[:8]}"
+        """Write the new version beside the old one, then take its place.
+
+        The old version is dropped last, so that a run that breaks off loses nothing.
+        """
+        mark = uuid.uuid4().hex[:8]
+        fresh, old = f"{self.name}.{table}_{mark}", f"{self.name}.{table}_{mark}_old"
         df.write.saveAsTable(fresh)
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}.{table}")
+        had = self.exists(table)
+        if had:
+            self.spark.sql(f"ALTER TABLE {self.name}.{table} RENAME TO {old}")
         self.spark.sql(f"ALTER TABLE {fresh} RENAME TO {self.name}.{table}")
+        if had:
+            self.spark.sql(f"DROP TABLE {old}")
 
     def tables(self) -> list[str]:
         return sorted(t.name for t in self.spark.catalog.listTables(self.name))
