@@ -103,6 +103,28 @@ def alignment_statistics(cells: DataFrame, taxon: str = "taxon") -> DataFrame:
     )
 
 
+def with_anchors(cells: DataFrame, anchors: Sequence[str], taxon: str = "taxon") -> DataFrame:
+    """Cells of the taxa that have every anchor gene; all cells without anchors."""
+    if not anchors:
+        return cells
+    have = cells.where(F.col("gene").isin(*anchors)).select(taxon, "gene").distinct().groupBy(taxon).agg(
+        F.count(F.lit(1)).alias("_k")
+    )
+    return cells.join(have.where(F.col("_k") == len(set(anchors))).select(taxon), taxon, "left_semi")
+
+
+def taxon_listing(cells: DataFrame, mixed: DataFrame, taxon: str = "taxon") -> DataFrame:
+    """Per taxon: each gene with its record, whether that leads its cluster, and its bases; whether taxa are mixed.
+
+    ``cells`` has taxon, gene, accno, sequence and is_lead; ``mixed`` names the mixed taxa.
+    """
+    entry = F.struct("gene", "accno", "is_lead", ungapped_length(F.col("sequence")).cast("long").alias("bases"))
+    # One entry per gene: lists as short as the number of genes.
+    listed = cells.groupBy(taxon).agg(F.array_sort(F.collect_list(entry)).alias("genes"))
+    flagged = mixed.select(taxon).distinct().withColumn("mixed", F.lit(True))
+    return listed.join(flagged, taxon, "left").withColumn("mixed", F.coalesce("mixed", F.lit(False)))
+
+
 def concatenate(cells: DataFrame, genes: Sequence[str], taxon: str = "taxon") -> DataFrame:
     """(taxon, sequence): genes in order, absent ones filled with gaps."""
     lengths = cells.groupBy("gene").agg(F.max(F.length("sequence")).alias("len"))

@@ -17,7 +17,8 @@ from taxaweave.session import cut_lineage
 
 def median_deviation(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
     """(groups, median, mad): exact median and median absolute deviation."""
-    centre = exact_median(df, groups, value, "median")
+    # Read twice: the median is computed once.
+    centre = cut_lineage(exact_median(df, groups, value, "median"))
     spread = join_groups(df, centre, list(groups)).withColumn("_d", F.abs(F.col(value) - F.col("median")))
     return join_groups(centre, exact_median(spread, groups, "_d", "mad"), list(groups))
 

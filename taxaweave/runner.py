@@ -112,15 +112,25 @@ def _store_leads(db: Database, clustered: DataFrame) -> None:
 
 def gb_parser(db, s):
     records = genbank.read_genbank(db.spark, s.gb_file, s.max_seq_length)
-    records = cut_lineage(records)
     db.replace("gb_data", genbank.require_unique(records))
+    skipped = genbank.skipped_count(db.spark, s.gb_file, s.max_seq_length)
+    if skipped:
+        warnings.warn(f"{skipped} records longer than {s.max_seq_length} were left out", stacklevel=2)
+    # The report: lineage lines that were not understood.
+    return genbank.odd_lineage_lines(genbank.entries(db.spark, s.gb_file))
 
 
 def check_taxonomy(db, s):
     records = db.read("gb_data")
+    conflicts = taxonomy.parent_conflicts(taxonomy.parent_counts(records))
+    if s.only_show:
+        return conflicts
+    # Written out, as the table it reads is replaced.
+    conflicts = cut_lineage(conflicts)
     new = taxonomy.rebuild_lineages(records, VAGUE_TAXA)
     joined = records.join(new, F.col("taxon_string") == F.col("old"), "left")
     db.replace("gb_data", joined.withColumn("taxon_string", F.coalesce("new", "taxon_string")).select(*records.columns))
+    return conflicts
 
 
 def change_entries(db, s):
@@ -515,8 +525,21 @@ def stats(db, s):
         rows = db.read("gene_sequences").where(F.col("gene").isin(*wanted) & F.col("lead").isNotNull())
         return rows.select("gene", "lead", "accno").join(species, "accno").orderBy("gene", "lead", "accno")
     cells = db.read("alignments").where(F.col("gene").isin(*wanted) & F.col("sequence").isNotNull())
+    cells = matrix.with_anchors(cells, s.anchor_gene)
     leads = db.read("gene_sequences").select("gene", "accno", F.coalesce(F.col("lead") == F.col("accno"), F.lit(False)).alias("is_lead"))
-    return matrix.alignment_statistics(cells.join(leads, ["gene", "accno"]))
+    cells = cut_lineage(cells.join(leads, ["gene", "accno"]).select("taxon", "gene", "accno", "sequence", "is_lead"))
+    members = cells.join(db.read("gb_data").select("accno", "taxon_string"), "accno").where("taxon_string IS NOT NULL")
+    mixed = taxonomy.mixed_taxa(members)
+    if s.stats_type.startswith("d"):
+        return matrix.taxon_listing(cells, mixed).orderBy("taxon")
+    # One row each: what holds for the whole stands on the row without gene.
+    whole = matrix.coverage(cells, wanted).select("complete").crossJoin(F.broadcast(matrix.decisiveness(cells))).crossJoin(
+        F.broadcast(mixed.agg(F.count(F.lit(1)).alias("mixed_taxa")))
+    )
+    rows = matrix.alignment_statistics(cells).crossJoin(F.broadcast(whole))
+    on_whole = lambda c: F.when(F.col("gene").isNull(), F.col(c)).alias(c)
+    extra = ("complete", "draws", "decisive", "mixed_taxa")
+    return rows.select(*[c for c in rows.columns if c not in extra], *[on_whole(c) for c in extra])
 
 
 # Module names, what runs, and the suffix of the backup taken after it.

@@ -105,6 +105,12 @@ def test_reports(spark, project):
     reports = run(spark, project, "stats,get_otu_taxonomy,get_trees", "-O")
     whole = reports["stats"].where("gene IS NULL").first()
     assert whole["taxa"] == 8 and whole["gene_coverage"] == 1.0
+    assert (whole["complete"], whole["draws"], whole["decisive"], whole["mixed_taxa"]) == (8, 1000, 1000, 0)
+    assert all(r["complete"] is None for r in reports["stats"].where("gene IS NOT NULL").collect())
+    detailed = run(spark, project, "stats", "--stats_type", "detailed", "-Q", "its,lsu")["stats"].collect()
+    assert len(detailed) == 8 and all({g["gene"] for g in r["genes"]} >= {"its", "lsu"} and not r["mixed"] for r in detailed)
+    conflicts = run(spark, project, "check_taxonomy", "-O")["check_taxonomy"]
+    assert conflicts.columns == ["child", "parent", "n"]
     assert {r["lineage"] for r in reports["get_otu_taxonomy"].collect()} == {"Fungi; Order; GenusA", "Fungi; Order; GenusB"}
     assert reports["get_trees"].count() >= 3
     listing = run(spark, project, "stats", "--stats_type", "cluster")["stats"].collect()
