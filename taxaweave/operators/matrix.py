@@ -113,6 +113,24 @@ def with_anchors(cells: DataFrame, anchors: Sequence[str], taxon: str = "taxon")
     return cells.join(have.where(F.col("_k") == len(set(anchors))).select(taxon), taxon, "left_semi")
 
 
+def without(cells: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """Cells whose ``key`` is not in ``gone``: removed records, or rogue taxa."""
+    return cells.join(gone.select(key), key, "left_anti")
+
+
+def most_frequent(df: DataFrame, group: str, value: str) -> DataFrame:
+    """(group, value, n): the most frequent value of each group, the smallest on ties."""
+    counted = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy(group).agg(
+        F.min_by(value, F.struct(-F.col("n"), F.col(value))).alias(value), F.max("n").alias("n")
+    )
+
+
+def guide_genes(cells: DataFrame, taxon: str = "taxon") -> DataFrame:
+    """(taxon, guide): the last gene by name among those that each taxon has."""
+    return cells.groupBy(taxon).agg(F.max("gene").alias("guide"))
+
+
 def taxon_listing(cells: DataFrame, mixed: DataFrame, taxon: str = "taxon") -> DataFrame:
     """Per taxon: each gene with its record, whether that leads its cluster, and its bases; whether taxa are mixed.
 

@@ -79,11 +79,9 @@ def gene_coverage(spark, d):
     return matrix.coverage(cells(spark, d), GENES).withColumn("gene_coverage", F.round("gene_coverage", 6))
 
 
+# Every document is a taxon of its language's alignment.
 @query("""
-WITH c AS (SELECT source AS taxon, lang AS gene, min(doc_id) AS doc_id FROM documents GROUP BY source, lang),
-m AS (SELECT c.*, replace(text, ' ', '-') AS s FROM c JOIN documents USING (doc_id)),
-l AS (SELECT gene, max(length(s)) AS len FROM m GROUP BY gene),
-a AS (SELECT m.*, rpad(s, len::INT, '-') AS q, doc_id % 2 = 0 AS is_lead FROM m JOIN l USING (gene)),
+WITH a AS (SELECT doc_id AS taxon, lang AS gene, replace(text, ' ', '-') AS q, doc_id % 2 = 0 AS is_lead FROM documents),
 t AS (SELECT count(DISTINCT taxon) AS taxa FROM a),
 g AS (SELECT gene, count(*) AS present, max(length(q)) AS aligned_length,
         sum(length(replace(q, '-', ''))) AS bases, count(*) FILTER (WHERE NOT is_lead) AS non_lead, 1 AS genes
@@ -95,12 +93,9 @@ SELECT gene, taxa::BIGINT AS taxa, present::BIGINT AS present, aligned_length::B
 FROM b, t
 """)
 def alignment_statistics(spark, d):
-    documents = table(spark, d, "documents")
-    first = documents.groupBy(F.col("source").alias("taxon"), F.col("lang").alias("gene")).agg(F.min("doc_id").alias("doc_id"))
-    texts = first.join(documents.select("doc_id", F.replace("text", F.lit(" "), F.lit("-")).alias("s")), "doc_id")
-    lengths = texts.groupBy("gene").agg(F.max(F.length("s")).alias("len"))
-    aligned = texts.join(lengths, "gene").select(
-        "taxon", "gene", F.rpad("s", F.col("len"), "-").alias("sequence"), (F.col("doc_id") % 2 == 0).alias("is_lead")
+    aligned = table(spark, d, "documents").select(
+        F.col("doc_id").alias("taxon"), F.col("lang").alias("gene"), F.replace("text", F.lit(" "), F.lit("-")).alias("sequence"),
+        (F.col("doc_id") % 2 == 0).alias("is_lead"),
     )
     result = matrix.alignment_statistics(aligned)
     for name in ("gene_coverage", "base_coverage", "non_lead_share"):
@@ -161,10 +156,7 @@ SELECT lang, n_chars, n FROM (SELECT lang, n_chars, count(*)::BIGINT AS n,
   row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, n_chars) AS rn FROM documents GROUP BY lang, n_chars) WHERE rn = 1
 """)
 def modal_length(spark, d):
-    counted = table(spark, d, "documents").groupBy("lang", "n_chars").agg(F.count(F.lit(1)).alias("n"))
-    return counted.groupBy("lang").agg(
-        F.min_by("n_chars", F.struct(-F.col("n"), F.col("n_chars"))).alias("n_chars"), F.max("n").alias("n")
-    )
+    return matrix.most_frequent(table(spark, d, "documents"), "lang", "n_chars")
 
 
 @query("""
@@ -225,13 +217,13 @@ SELECT taxon, max(gene) AS guide FROM n GROUP BY taxon
 """)
 def linked_guide_gene(spark, d):
     aligned = cells(spark, d).groupBy("taxon", "gene").agg(F.count(F.lit(1)).alias("n")).where("n > 4")
-    return aligned.groupBy("taxon").agg(F.max("gene").alias("guide"))
+    return matrix.guide_genes(aligned)
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 490000)")
 def drop_rogues(spark, d):
     rogues = table(spark, d, "orders").where("o_totalprice > 490000").select(F.col("o_custkey").alias("c_custkey"))
-    return table(spark, d, "customer").select("c_custkey", "c_name").join(rogues, "c_custkey", "left_anti")
+    return matrix.without(table(spark, d, "customer").select("c_custkey", "c_name"), rogues, "c_custkey")
 
 
 @query(f"""
@@ -242,7 +234,7 @@ SELECT taxon, gene, accno FROM x WHERE accno NOT IN (SELECT accno FROM r)
 def remove_accnos(spark, d):
     table_cells = cells(spark, d).select("taxon", "gene", "accno")
     gone = table_cells.where("gene = 'p1'").select("accno")
-    return table_cells.join(gone, "accno", "left_anti")
+    return matrix.without(table_cells, gone, "accno")
 
 
 @query("""
