@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from taxaweave.operators.clusters import best_by
+from taxaweave.session import cut_lineage
 
 # Scores of equal and unequal bases and of a gap position.
 EQUAL, UNEQUAL, GAP = 5, -4, -6
@@ -129,3 +130,32 @@ def merge_groups(aligned: DataFrame, keys: list[str], group: str, identifier: st
     moves = fronts.join(centre, keys).select(*keys, group, _paths("_c", front).alias("_path"))
     moved = aligned.join(moves, [*keys, group]).withColumn("path", _follow("_path", "sequence")).drop("_path", "sequence")
     return _spread(moved, keys).select(*aligned.columns)
+
+
+def merge_by_lineage(aligned: DataFrame, keys: list[str], group: str, path: str, identifier: str = "accno") -> DataFrame:
+    """Join the aligned groups of each key from the tips of the taxonomy to its root.
+
+    ``path`` is the group's lineage from the root down, the same for all of its rows.
+    Groups below one taxon are merged before the taxon is merged with its
+    neighbours, so that each merge joins what is most alike. A group without
+    lineage joins at the root.
+    """
+    columns = aligned.columns
+    current = cut_lineage(aligned.withColumn("_at", F.coalesce(path, F.array().cast("array<string>"))))
+    depth = current.agg(F.max(F.size("_at")).alias("n")).first()["n"] or 0
+    for level in range(depth - 1, -1, -1):
+        # Everything below a taxon at this level meets; what stands higher waits.
+        below = F.size("_at") > level
+        if level == 0:
+            below = F.lit(True)
+        node = F.slice("_at", F.lit(1), F.lit(level))
+        placed = current.withColumn("_node", F.when(below, node)).withColumn("_own", F.col(group))
+        counts = placed.where(below).groupBy(*keys, "_node").agg(F.count_distinct("_own").alias("_k")).where("_k > 1")
+        meeting = placed.where(below).join(counts.drop("_k"), [*keys, "_node"], "left_semi")
+        rest = placed.where(below).join(counts.drop("_k"), [*keys, "_node"], "left_anti").unionByName(placed.where(~below))
+        first = meeting.groupBy(*keys, "_node").agg(F.min("_own").alias("_name"))
+        merged = merge_groups(meeting, [*keys, "_node"], "_own", identifier).join(first, [*keys, "_node"])
+        merged = merged.withColumn(group, F.col("_name")).withColumn("_at", F.col("_node")).drop("_name")
+        waiting = rest.withColumn("_at", F.when(below, node).otherwise(F.col("_at")))
+        current = cut_lineage(merged.unionByName(waiting).drop("_node", "_own"))
+    return current.select(*columns)

@@ -302,14 +302,21 @@ def _group_cells(db):
     grouped = lineages.withColumn("grp", F.regexp_replace("name", r"\s", "_")).join(
         db.read("alignment_groups").select("gene", F.col("taxon").alias("grp")), "grp"
     ).groupBy("gene", "accno").agg(F.min("grp").alias("grp"))
-    return cells.join(grouped, ["gene", "accno"], "left").withColumn(
+    # Down to the group, or to the record where it has none.
+    names = F.transform(F.split("taxon_string", r"\s*;\s*"), lambda name: F.regexp_replace(name, r"\s", "_"))
+    whole = db.read("gb_data").select("accno", names.alias("names"))
+    placed = cells.join(grouped, ["gene", "accno"], "left").join(whole, "accno", "left")
+    upto = F.when(F.col("grp").isNull(), F.size("names")).otherwise(F.array_position("names", F.col("grp")).cast("int"))
+    return placed.withColumn("ranks", F.slice("names", F.lit(1), F.greatest(upto, F.lit(0)))).withColumn(
         "grp", F.coalesce("grp", F.concat(F.lit("\t"), "accno"))
-    )
+    ).drop("names")
 
 
 def _align_cells(cells):
-    grouped = align.align(cells.select("gene", "grp", "taxon", "accno", "sequence"), ["gene", "grp"], "taxon")
-    return cut_lineage(align.merge_groups(cut_lineage(grouped), ["gene"], "grp", "taxon").drop("grp"))
+    if "ranks" not in cells.columns:
+        cells = cells.withColumn("ranks", F.lit(None).cast("array<string>"))
+    grouped = align.align(cells.select("gene", "grp", "ranks", "taxon", "accno", "sequence"), ["gene", "grp"], "taxon")
+    return align.merge_by_lineage(grouped, ["gene"], "grp", "ranks", "taxon").drop("grp", "ranks")
 
 
 def _gene_trees(cells):

@@ -193,3 +193,19 @@ def test_tree_files(spark, tmp_path):
     missing = sink.write_trees(df, str(tmp_path / "t"), "combined")
     assert [r["gene"] for r in missing.collect()] == ["b"]
     assert [p.name for p in (tmp_path / "t").iterdir() if p.is_dir()] == ["gene=a"]
+
+
+def test_merge_by_lineage(spark):
+    names = [f"t{i:02d}" for i in range(8)]
+    data = evolve(random.Random(4), names, 60)
+    # Two orders of two genera each; one record hangs on its order, one has no lineage.
+    paths = {n: ["r", f"o{i // 4}", f"g{i // 2}"] for i, n in enumerate(names)}
+    paths["t03"], paths["t07"] = ["r", "o0"], None
+    rows = [("g", n, s.replace("A", "", int(n[1:])), paths[n], "/".join(paths[n] or [n])) for n, s in data.items()]
+    df = spark.createDataFrame(rows, "gene string, accno string, sequence string, ranks array<string>, grp string")
+    merged = align.merge_by_lineage(align.align(df, ["gene", "grp"]), ["gene"], "grp", "ranks")
+    assert merged.columns == df.columns
+    found = {r["accno"]: r["sequence"] for r in merged.collect()}
+    assert len({len(s) for s in found.values()}) == 1
+    assert {n: s.replace("-", "") for n, s in found.items()} == {r[1]: r[2] for r in rows}
+    assert align.merge_by_lineage(df.limit(0), ["gene"], "grp", "ranks").count() == 0
