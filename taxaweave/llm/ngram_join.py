@@ -8,13 +8,13 @@ shared. The work goes in four steps, all exact:
    part with shingles stays equal; its content is the key. A set with too many empty
    parts adds the keys of its prefix (the smallest hashes, of which a link shares one).
    Equal sets are one node from the start, so copies add no keys.
-2. *Hubs.* Each node is compared with one node of its keys; groups of near copies
-   collapse here, without pairs among their members.
+2. *Hubs.* Each node is compared with one node of its keys, in rounds, always one of
+   another component; groups of near copies collapse here, without pairs among their members.
 3. *Tiles.* Keys that still hold several components are laid out as tiles (large ones
    in blocks). In a tile, the bits in which two hashed bitmaps differ bound the
-   overlap from above; per node and other component the closest pairs under the bound go on.
-4. *Intersection* of the sorted arrays of a pair decides. Where all tried pairs of a node
-   fail and more pass the bound, its tiles run again for more, until none is left.
+   overlap from above; of each node's pairs under the bound the closest go on.
+4. *Intersection* of the sorted arrays of a pair decides. Where more pairs of a node pass
+   the bound, its tiles run again for more, until every pair is tried or within one component.
 
 Nulls and odd rows: a null or wordless text has an empty set and links with nothing;
 fewer words than ``width`` make one shingle; repeated rows, also of one ``doc_id``, link as equal
@@ -40,8 +40,10 @@ LARGEST = 1 << 40
 SIEVE = 1 << 22
 TILE = 1024
 LEAST_BITS, MOST_BITS, BITS_PER_SHINGLE = 256, 1 << 15, 8
-#: Closest pairs of a node with each other component that are tried at first, and how many times more in each further round.
-FIRST, MORE = 8, 8
+#: Closest pairs of a node with other components that are tried at first, and how many times more in each further round.
+FIRST, MORE = 2, 4
+#: Hub rounds go on while this share of their pairs link.
+WORTH = 0.05
 
 
 def _edges() -> np.ndarray:
@@ -215,8 +217,8 @@ def differing_bits(maps: tuple[np.ndarray, np.ndarray, np.ndarray], left: np.nda
 def tile_survivors(tile, node, size, component, block, maps, percent: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs of rows of one tile and different components that pass the bound.
 
-    For each left node and right component the ``most`` closest are given; the third
-    array tells whether there are more. Rows stand by tile and node.
+    For each left node the ``most`` closest are given; the third array tells
+    whether there are more. Rows stand by tile and node.
     """
     n = len(tile)
     ends = np.searchsorted(tile, tile, "right")
@@ -244,14 +246,14 @@ def tile_survivors(tile, node, size, component, block, maps, percent: int, most:
         left, right = left[new], right[new]
         differ, total = differing_bits(maps, left, right), size[left] + size[right]
         good = (100 + percent) * ((total - differ) // 2) >= percent * total
-        found.append((node[left[good]], node[right[good]], component[right[good]], (differ / np.maximum(total, 1))[good]))
-    a, b, c, share = (np.concatenate(x) for x in zip(*found, strict=True))
-    order = np.lexsort((b, share, c, a))
-    a, b, c = a[order], b[order], c[order]
+        found.append((node[left[good]], node[right[good]], (differ / np.maximum(total, 1))[good]))
+    a, b, share = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((b, share, a))
+    a, b = a[order], b[order]
     new = np.ones(len(a), bool)
-    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (c[1:] != c[:-1])
-    a, b, c = a[new], b[new], c[new]
-    starts = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (c[1:] != c[:-1])])) if len(a) else np.zeros(0, np.int64)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    a, b = a[new], b[new]
+    starts = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])) if len(a) else np.zeros(0, np.int64)
     sizes = np.diff(np.append(starts, len(a)))
     rank = np.arange(len(a)) - np.repeat(starts, sizes)
     keep = rank < most
@@ -344,32 +346,56 @@ def links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame
         .join(known, "node", "left_semi").dropDuplicates(["node"])
     )
 
-    hubs = shared.groupBy("key").agg(F.min("node").alias("hub"))
-    first = (
-        shared.join(hubs, "key").where("node <> hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("node").agg(F.max_by("hub", F.struct("n", "hub")).alias("b")).select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-    )
-    tested = written(_verified(first, sets, percent))
+    tested = None
+    while True:
+        labelled = _labelled(shared, tested)
+        now = written(_verified(_untried(_hub_pairs(labelled), tested), sets, percent))
+        tested = now if tested is None else written(tested.unionByName(now))
+        found = now.agg(F.count(F.lit(1)).alias("n"), F.count_if("links").alias("links")).first()
+        if found["links"] <= WORTH * found["n"]:
+            break
     most, pending = FIRST, None
     while True:
-        edges = tested.where("links").select("a", "b")
-        keys = shared if pending is None else shared.join(shared.join(pending, "node").select("key").distinct(), "key", "left_semi")
-        found = written(_tiles(keys, sets, edges, percent, most))
-        now = written(_verified(found.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), sets, percent))
-        tested = written(tested.unionByName(now))
-        # Where a node's closest pairs have failed, there may be a link among the rest.
-        failed = found.where("more").join(tested.where("links"), ["a", "b"], "left_anti")
-        pending = written(failed.select(F.col("a").alias("node")).distinct())
+        labelled = _labelled(shared, tested)
+        if pending is not None:
+            labelled = labelled.join(labelled.join(pending, "node").select("key").distinct(), "key", "left_semi")
+        found = written(_tiles(labelled, sets, percent, most))
+        tested = written(tested.unionByName(_verified(_untried(found.select("a", "b").distinct(), tested), sets, percent)))
+        pending = written(found.where("more").select(F.col("a").alias("node")).distinct())
         if pending.isEmpty():
             break
         most *= MORE
     return scanned.select("doc_id", "n_shingles", "node"), tested.where("links").select("a", "b")
 
 
-def _tiles(shared: DataFrame, sets: DataFrame, edges: DataFrame, percent: int, most: int) -> DataFrame:
+def _labelled(shared: DataFrame, tested: DataFrame | None) -> DataFrame:
+    """Keys and their nodes with the component that the links found so far put each node in."""
+    if tested is None:
+        return shared.select("key", "node", F.col("node").alias("component"))
+    merged = connected_components(tested.where("links"), "a", "b")
+    return written(shared.join(merged, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")))
+
+
+def _untried(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
+    return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
+
+
+def _hub_pairs(labelled: DataFrame) -> DataFrame:
+    """(a, b): every node with the hub of another component that it shares most keys with.
+
+    The hub of a key is its smallest node of its smallest component.
+    """
+    hubs = labelled.groupBy("key").agg(F.min(F.struct("component", "node")).alias("hub"))
+    return (
+        labelled.join(hubs, "key").where("component <> hub.component")
+        .groupBy("node", F.col("hub.node").alias("hub")).agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("node").agg(F.max_by("hub", F.struct("n", "hub")).alias("hub"))
+        .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    )
+
+
+def _tiles(labelled: DataFrame, sets: DataFrame, percent: int, most: int) -> DataFrame:
     """Pairs to intersect next, from keys that hold more than one component."""
-    merged = connected_components(edges, "a", "b")
-    labelled = written(shared.join(merged, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")))
     # Keys with the same members make one tile.
     open_keys = (
         labelled.groupBy("key").agg(
