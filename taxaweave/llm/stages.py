@@ -15,16 +15,27 @@ VOCABULARY = "byte_bpe_50k.json"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep; the rest go."""
-    bad = line_rules.quality(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """Documents that the quality rules keep; the rest go. A repeated id stays if one of its rows is kept."""
+    verdicts = line_rules.quality(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    bad = verdicts.where(~F.col("kept")).select(F.col("doc_id").alias("bad_id"))
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id, once."""
+    """One document of each group of near copies: the one with the smallest id, once. Rows without id stay."""
     groups = ngram_join.components(docs)
-    gone = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    least = groups.groupBy("doc_id").agg(
+        F.min(F.col("doc_id") != F.col("component_id")).alias("gone"), F.count(F.lit(1)).alias("rows")
+    )
+    marked = least.where("gone or rows > 1").select(F.col("doc_id").alias("marked_id"), "gone")
+    left = docs.join(marked.where("gone"), F.col("doc_id") == F.col("marked_id"), "left_anti")
+    again = marked.where("not gone").select("marked_id")
+    if again.isEmpty():
+        return left.select(*docs.columns)
+    # Ids that stand on several rows: equal rows stay once.
+    single = left.join(again, F.col("doc_id") == F.col("marked_id"), "left_anti").select(*docs.columns)
+    several = left.join(again, F.col("doc_id") == F.col("marked_id"), "left_semi").select(*docs.columns)
+    return single.unionByName(several.dropDuplicates(["doc_id", "text"]))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +51,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     copies = mixing_.mix(docs, labels, domain(), TARGETS).groupBy("doc_id").agg(F.max("copies").alias("copies")).where("copies > 0")
     again = F.explode(F.sequence(F.lit(1), F.col("copies")))
-    return docs.join(copies.select("doc_id", again.alias("taxaweave_copy")), "doc_id").select(*docs.columns)
+    times = copies.select(F.col("doc_id").alias("mixed_id"), again.alias("mixed_copy"))
+    return docs.join(times, F.col("doc_id").eqNullSafe(F.col("mixed_id"))).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
