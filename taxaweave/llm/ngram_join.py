@@ -5,7 +5,7 @@ shared. The work goes in four steps, all exact:
 
 1. *Keys.* A link of sizes up to ``hi`` differs in at most D = 2 hi (1-t)/(1+t) shingles.
    Per band of sizes, the hash space is cut into a few more than D parts, so that a
-   part with shingles stays equal; its content is the key. A set with too many empty
+   part with shingles stays equal; its content, hashed to 32 bits, is the key. A set with too many empty
    parts adds the keys of its prefix (the smallest hashes, of which a link shares one).
    Equal sets are one node from the start, so copies add no keys.
 2. *Hubs.* Each node is compared with one node of its keys, in rounds, always one of
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from taxaweave.llm.scan import Chunk, chunks, counts_by_row, mix, span_hashes, windows
-from taxaweave.llm.steps import written
+from taxaweave.llm.steps import discard, written
 from taxaweave.operators.components import connected_components
 
 GROWTH = 1.2
@@ -42,6 +42,8 @@ TILE = 1024
 LEAST_BITS, MOST_BITS, BITS_PER_SHINGLE = 256, 1 << 15, 8
 #: Closest pairs of a node with other components that are tried at first, and how many times more in each further round.
 FIRST, MORE = 2, 4
+#: Rows of ids that are sent to all tasks at most (8 MB); larger tables are joined by a shuffle.
+SENT = 1_000_000
 #: Hub rounds go on while this share of their pairs link.
 WORTH = 0.05
 
@@ -143,7 +145,7 @@ def _node_scan(width: int, percent: int):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(chunk.first, chunk.rows), pa.array(sizes),
                      pa.array(_set_ids(rows, hashes, sizes).view(np.int64)),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.view(np.int64)))],
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array((keys >> np.uint64(32)).astype(np.uint32).view(np.int32)))],
                     names=["doc_id", "n_shingles", "node", "keys"],
                 )
 
@@ -298,9 +300,16 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 ok.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(ok, pa.bool_())], names=["a", "b", "links"])
 
-    left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long, links boolean")
+    # Each side takes the arrays of its own pairs; only these meet.
+    pairs = _sent(written(pairs))
+    left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")).join(pairs, "a")
+    right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")).join(pairs, "b")
+    return left.join(right, ["a", "b"]).select("a", "b", "x", "y").mapInArrow(check, "a long, b long, links boolean")
+
+
+def _sent(ids: DataFrame) -> DataFrame:
+    """A written table of ids, sent to all tasks if its counted rows are at most ``SENT``."""
+    return F.broadcast(ids) if ids.count() <= SENT else ids
 
 
 def _sieve(ids: DataFrame):
@@ -324,20 +333,22 @@ def links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame
     spark = docs.sparkSession
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     scanned = written(
-        ids.mapInArrow(_node_scan(width, percent), "doc_id long, n_shingles long, node long, keys array<long>")
+        ids.mapInArrow(_node_scan(width, percent), "doc_id long, n_shingles long, node long, keys array<int>")
         .withColumn("row", F.monotonically_increasing_id())
     )
-    nodes = scanned.where("n_shingles > 0")
+    rows = written(scanned.drop("keys"))
+    nodes = rows.where("n_shingles > 0")
     # Of the rows of one node the first stands for all.
     copies = nodes.groupBy("node").agg(F.min("row").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    others = (
+    others = written(
         nodes.select("node", "row").join(copies.select("node", "least"), "node").where("row > least").select("row")
     )
-    firsts = nodes.join(others, "row", "left_anti")
+    firsts = scanned.where("n_shingles > 0").join(_sent(others), "row", "left_anti")
     shared = written(
         firsts.select("node", F.explode("keys").alias("key"))
         .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("n > 1")
     )
+    discard(scanned)
     known = shared.select("node").distinct()
     sieve, place = _sieve(nodes.select("doc_id", "node").join(known, "node", "left_semi"))
     sets = written(
@@ -365,7 +376,7 @@ def links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame
         if pending.isEmpty():
             break
         most *= MORE
-    return scanned.select("doc_id", "n_shingles", "node"), tested.where("links").select("a", "b")
+    return rows.select("doc_id", "n_shingles", "node"), tested.where("links").select("a", "b")
 
 
 def _labelled(shared: DataFrame, tested: DataFrame | None) -> DataFrame:

@@ -28,11 +28,23 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table that :func:`written` returned; nothing may read it any more."""
+    names = {name.rsplit("/", 2)[-2] for name in df.inputFiles()}
+    for spark, path in [w for w in _written if w[1].rsplit("/", 1)[-1] in names]:
+        _delete(spark, path)
+        _written.remove((spark, path))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def _clear() -> None:
     for spark, path in _written:
         try:
-            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            _delete(spark, path)
         except Exception:  # noqa: BLE001  the session has ended before: the cluster clears its folder
             return
 
