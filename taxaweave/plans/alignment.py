@@ -56,8 +56,10 @@ def bootstrap_support(spark, d):
 
 @query()
 def bounded_tree_parts(spark, d):
-    nodes = cut_lineage(trees.build_trees(_part_rows(spark, d)))
-    return treeparts.bounded_parts(nodes, trees.MAX_BLOCK)
+    # Trees of the parts of one maker and size, small enough that six tips cut them at every scale.
+    parts = table(spark, d, "part").select("p_partkey", F.concat_ws("/", "p_mfgr", "p_size").alias("tree"))
+    rows = _part_rows(spark, d).drop("tree").join(parts, F.col("taxon").cast("long") == F.col("p_partkey")).drop("p_partkey")
+    return treeparts.bounded_parts(cut_lineage(trees.build_trees(rows)), 6)
 
 
 TIPS = """
