@@ -5,7 +5,7 @@ shared. The work goes in four steps, all exact:
 
 1. *Keys.* A link of sizes up to ``hi`` differs in at most D = 2 hi (1-t)/(1+t) shingles.
    Per band of sizes, the hash space is cut into a few more than D parts, so that a
-   part with shingles stays equal; its content, hashed to 32 bits, is the key. A set with too many empty
+   part with shingles stays equal; its content, hashed to 64 bits, is the key. A set with too many empty
    parts adds the keys of its prefix (the smallest hashes, of which a link shares one).
    Equal sets are one node from the start, so copies add no keys.
 2. *Hubs.* Each node is compared with one node of its keys, in rounds, always one of
@@ -145,7 +145,7 @@ def _node_scan(width: int, percent: int):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(chunk.first, chunk.rows), pa.array(sizes),
                      pa.array(_set_ids(rows, hashes, sizes).view(np.int64)),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array((keys >> np.uint64(32)).astype(np.uint32).view(np.int32)))],
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.view(np.int64)))],
                     names=["doc_id", "n_shingles", "node", "keys"],
                 )
 
@@ -333,7 +333,7 @@ def links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame
     spark = docs.sparkSession
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     scanned = written(
-        ids.mapInArrow(_node_scan(width, percent), "doc_id long, n_shingles long, node long, keys array<int>")
+        ids.mapInArrow(_node_scan(width, percent), "doc_id long, n_shingles long, node long, keys array<long>")
         .withColumn("row", F.monotonically_increasing_id())
     )
     rows = written(scanned.drop("keys"))
