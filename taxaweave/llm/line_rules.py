@@ -2,9 +2,10 @@
 
 Every line is normalised (ASCII letters to lower case, digits to 0, words joined
 by one space) and hashed. Per host, the documents that hold a line are counted;
-copies of one document count once: documents are told apart by the smallest
-hash of their five-word windows, which exact copies share always and near
-copies mostly. Lines held by more documents than the limit are boilerplate and
+copies of one document count once: documents are told apart by a 64-bit hash
+of all their normalised words in order. Texts that differ in one word are
+different documents, so near copies count each: line by line, a group of them
+is the same as documents that are mostly boilerplate. Lines held by more documents than the limit are boilerplate and
 are removed; a document that keeps too few of its words is rejected.
 
 The limit is a share of the host's documents (copies once), with a floor, so
@@ -31,7 +32,7 @@ from taxaweave.llm.steps import written
 SYMBOLS = "#*$%&|<>"
 
 BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-SCANNED = f"doc_id long, host string, {BASE}, sketch long, lines array<long>, line_words array<int>"
+SCANNED = f"doc_id long, host string, {BASE}, whole long, lines array<long>, line_words array<int>"
 
 
 def _repeats(keys: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -82,18 +83,16 @@ def scan_chunk(chunk: Chunk) -> dict[str, object]:
     np.add.at(lines, line_of_word, placed)
     line_words = counts_by_row(line_of_word, len(line_starts))
 
-    five, at = windows(plain, rows, 5)
-    sketch = np.full(n, np.iinfo(np.uint64).max, np.uint64)
-    np.minimum.at(sketch, rows[at], five)
-    few = n_words < 5  # too short for a window: all words
+    # The whole text the same way, each word with its place in the row.
+    row_place = np.arange(len(starts)) - np.searchsorted(starts, chunk.bounds)[rows]
     whole = np.zeros(n, np.uint64)
-    np.add.at(whole, rows, plain)
-    sketch = np.where(few, mix(whole), sketch)
+    np.add.at(whole, rows, mix(plain + mix(row_place.astype(np.uint64))))
+    whole = mix(whole + mix(n_words.astype(np.uint64)))
 
     return {
         "n_words": n_words, "word_chars": sums_by_row(ends - starts, rows, n),
         "n_symbols": counts_by_row(chunk.row_of(np.flatnonzero(np.isin(code, [ord(c) for c in SYMBOLS]))), n),
-        "n_dup_lines": dup_lines, "n_repeat_words": repeat_words, "sketch": sketch.view(np.int64),
+        "n_dup_lines": dup_lines, "n_repeat_words": repeat_words, "whole": whole.view(np.int64),
         "lines": lines.view(np.int64), "line_words": line_words, "per_row": counts_by_row(line_rows, n),
     }
 
@@ -105,7 +104,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids = batch.column("doc_id").slice(chunk.first, chunk.rows)
             host = batch.column("host").slice(chunk.first, chunk.rows)
             offsets = pa.array(np.concatenate([[0], np.cumsum(out["per_row"])]).astype(np.int32))
-            flat = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "sketch"]
+            flat = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "whole"]
             yield pa.RecordBatch.from_arrays(
                 [ids, host, *(pa.array(out[k]) for k in flat),
                  pa.ListArray.from_arrays(offsets, pa.array(out["lines"])),
@@ -115,7 +114,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def scan(docs: DataFrame, host: str = "source") -> DataFrame:
-    """Base counts, sketch and normalised lines of every document."""
+    """Base counts, hash of the whole text and normalised lines of every document."""
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.col(host).cast("string").alias("host")
     ).mapInArrow(_scan, SCANNED)
@@ -131,9 +130,9 @@ def common_lines(scanned: DataFrame, share: float = 0.05, least: int = 20) -> Da
     A line of a host is first reduced to its different documents, so that no
     count gathers the rows of one line.
     """
-    sizes = scanned.select("host", "sketch").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
+    sizes = scanned.select("host", "whole").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
     held = (
-        scanned.select("host", "sketch", F.explode("lines").alias("line")).distinct()
+        scanned.select("host", "whole", F.explode("lines").alias("line")).distinct()
         .groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > least)
     )
     return (
@@ -170,5 +169,5 @@ def quality(
         .withColumn("base_failed", base_failed(min_words, repeat_percent))
         .withColumn("depleted", (left < F.col("n_words") * keep_share) | (left * 2 < min_words))
         .withColumn("kept", ~F.col("base_failed") & ~((F.col("lost_words") > 0) & F.col("depleted")))
-        .drop("row", "sketch", "lines", "line_words")
+        .drop("row", "whole", "lines", "line_words")
     )

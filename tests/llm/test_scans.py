@@ -121,3 +121,17 @@ def test_line_rules(spark):
     assert sorted((r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in again) == sorted(
         plain_counts(r[1]) for r in odd_rows())
     assert line_rules.quality(none(spark)).count() == 0
+
+
+def test_documents_that_are_mostly_a_shared_line(spark):
+    # 500 different documents, 200 of them 90% the same line: each counts, or that line would stay.
+    shared = prose(5, 100)
+    rows = [(k, shared + "\nown " + prose(1000 + k, 9), "h") for k in range(200)]
+    rows += [(k, prose(1000 + k, 110), "h") for k in range(200, 500)]
+    rows += [(500 + k, prose(9, 60) + "\n" + prose(10, 60), "h") for k in range(300)]  # copies of one
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    common = line_rules.common_lines(line_rules.scan(docs)).collect()
+    assert [r.n for r in common] == [200]
+    found = {r.doc_id: r for r in line_rules.quality(docs).collect()}
+    assert not any(found[k].kept or found[k].base_failed for k in range(200))
+    assert all(found[k].kept for k in range(200, 800))
