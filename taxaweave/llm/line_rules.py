@@ -8,8 +8,9 @@ different documents, so near copies count each: line by line, a group of them
 is the same as documents that are mostly boilerplate. Lines held by more documents than the limit are boilerplate and
 are removed; a document that keeps too few of its words is rejected.
 
-The limit is a share of the host's documents (copies once), with a floor, so
-that the rule acts alike at every size.
+The limit is a number of different documents (``MOST``), whatever the size of
+the host: a line that stands in more of them goes, in a host of fifty documents
+as in one of millions.
 
 Nulls and odd rows: a null text is an empty one; a null host is a host of its
 own; repeated rows are separate documents with equal verdicts; a document
@@ -30,6 +31,8 @@ from taxaweave.llm.steps import written
 
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
+#: Fixed value: different documents of a host that may hold a line.
+MOST = 10
 
 BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 SCANNED = f"doc_id long, host string, {BASE}, whole long, lines array<long>, line_words array<int>"
@@ -124,25 +127,20 @@ def base_failed(min_words: int = 50, repeat_percent: int = 50) -> Column:
     return (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * repeat_percent)
 
 
-def common_lines(scanned: DataFrame, share: float = 0.05, least: int = 20) -> DataFrame:
-    """(host, line): lines held by more than ``share`` of a host's documents, and by more than ``least``.
+def common_lines(scanned: DataFrame, most: int = MOST) -> DataFrame:
+    """(host, line, n): lines held by more than ``most`` different documents of a host.
 
     A line of a host is first reduced to its different documents, so that no
     count gathers the rows of one line.
     """
-    sizes = scanned.select("host", "whole").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
-    held = (
-        scanned.select("host", "whole", F.explode("lines").alias("line")).distinct()
-        .groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > least)
-    )
     return (
-        held.alias("a").join(sizes.alias("b"), F.col("a.host").eqNullSafe(F.col("b.host")))
-        .where(F.col("n") > F.col("host_docs") * share).select("a.host", "line", "n")
+        scanned.select("host", "whole", F.explode("lines").alias("line")).distinct()
+        .groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)
     )
 
 
 def quality(
-    docs: DataFrame, host: str = "source", share: float = 0.05, least: int = 20, keep_share: float = 0.5,
+    docs: DataFrame, host: str = "source", most: int = MOST, keep_share: float = 0.5,
     min_words: int = 50, repeat_percent: int = 50,
 ) -> DataFrame:
     """Per document: base counts, words left after removal of common lines, verdict.
@@ -152,7 +150,7 @@ def quality(
     """
     # Rows are numbered, so that repeated ids stay apart.
     scanned = written(scan(docs, host).withColumn("row", F.monotonically_increasing_id()))
-    common = common_lines(scanned, share, least)
+    common = common_lines(scanned, most)
     lines = scanned.select("row", "host", F.explode(F.arrays_zip("lines", "line_words")).alias("x")).select(
         "row", "host", F.col("x.lines").alias("line"), F.col("x.line_words").alias("words")
     )

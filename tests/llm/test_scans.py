@@ -135,3 +135,17 @@ def test_documents_that_are_mostly_a_shared_line(spark):
     found = {r.doc_id: r for r in line_rules.quality(docs).collect()}
     assert not any(found[k].kept or found[k].base_failed for k in range(200))
     assert all(found[k].kept for k in range(200, 800))
+
+
+def test_line_limit_is_the_same_at_every_host_size(spark):
+    # A line in eleven documents goes from a host of twelve and from one of 600; a line in ten stays in both.
+    rows = []
+    for host, size in (("small", 12), ("large", 600)):
+        for k in range(size):
+            seed, lines = len(rows), [prose(5000 + len(rows), 80)]
+            lines += [prose(5, 9)] * (k < 11) + [prose(6, 9)] * (k < 10)
+            rows.append((seed, "\n".join(lines), host))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = line_rules.quality(docs).groupBy("host", "lost_lines").count().collect()
+    assert sorted(map(tuple, found)) == [("large", 0, 589), ("large", 1, 11), ("small", 0, 1), ("small", 1, 11)]
+    assert line_rules.quality(docs).where("not kept").count() == 0
