@@ -10,6 +10,8 @@ from taxaweave.session import cut_lineage
 
 # Fixed value: base that each hexadecimal digit stands for, four digits per base.
 HEX, BASES = "0123456789abcdef", "ACGTACGTACGTACGT"
+# Fixed value: bootstrap replicates, as many as the default of ``concat_phylo_method``.
+REPLICATES = 100
 
 
 @query()
@@ -48,7 +50,7 @@ def distance_trees(spark, d):
 @query()
 def bootstrap_support(spark, d):
     rows = cut_lineage(_part_rows(spark, d))
-    replicates = cut_lineage(trees.build_trees(trees.resample(rows, 2)))
+    replicates = cut_lineage(trees.build_trees(trees.resample(rows, REPLICATES)))
     nodes = cut_lineage(trees.build_trees(rows))
     of = F.split_part("tree", F.lit("/"), F.lit(1))
     return trees.support(nodes, replicates, of).where("support IS NOT NULL")

@@ -209,3 +209,11 @@ def test_merge_by_lineage(spark):
     assert len({len(s) for s in found.values()}) == 1
     assert {n: s.replace("-", "") for n, s in found.items()} == {r[1]: r[2] for r in rows}
     assert align.merge_by_lineage(df.limit(0), ["gene"], "grp", "ranks").count() == 0
+
+
+def test_bootstrap_query_has_a_hundred_replicates(spark):
+    from taxaweave.plans import QUERIES
+
+    found = {r["support"] for r in QUERIES["bootstrap_support"](spark, "/root/testdata/sf0.001").select("support").collect()}
+    # Two replicates give 0, 50 and 100 alone; a hundred give every whole per cent.
+    assert all(0 <= x <= 100 for x in found) and len(found - {0, 50, 100}) > 10 and any(x % 5 for x in found)
