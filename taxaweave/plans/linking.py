@@ -131,11 +131,13 @@ for _kind in "oaeh":
 
 @query()
 def max_matching(spark, d):
-    # Customers and order dates, linked by the orders of one status, weighed by their number.
-    left, right = _sides(spark, d)
-    values1, units1 = linking.profile_classes(left, "unit", ["o_orderstatus"], ["h"])
-    values2, units2 = linking.profile_classes(right, "unit", ["o_orderstatus"], ["h"])
-    edges = linking.edge_scores(values1, values2, ["h"], [2])
+    # Customers and order dates over all orders, linked by status and by priority.
+    orders, columns, kinds = table(spark, d, "orders"), ["o_orderstatus", "o_orderpriority"], ["h", "h"]
+    left = orders.select(F.col("o_custkey").alias("unit"), *columns)
+    right = orders.select(F.datediff("o_orderdate", F.lit("1970-01-01")).cast("long").alias("unit"), *columns)
+    values1, units1 = linking.profile_classes(left, "unit", columns, kinds)
+    values2, units2 = linking.profile_classes(right, "unit", columns, kinds)
+    edges = linking.edge_scores(values1, values2, kinds, [2, 2])
     sizes = (
         units1.groupBy(F.col("class").alias("src")).agg(F.count(F.lit(1)).alias("n")),
         units2.groupBy(F.col("class").alias("dst")).agg(F.count(F.lit(1)).alias("n")),

@@ -119,3 +119,15 @@ def test_multimotu(spark):
     df = spark.createDataFrame(rows, "gene string, accno string, lead string, species string")
     got = taxa_of(multimotu(df, ["species"], ["h"], [2]))
     assert got == {1: {"a": "a1", "b": "b4"}, 2: {"a": "a2", "b": "b1"}, 3: {"a": "a3"}, 4: {"b": "b2"}}
+
+
+def test_matching_query_reads_every_priority(spark, tmp_path):
+    from taxaweave.plans import QUERIES
+
+    # Two customers and two dates without an urgent or high order; each pair agrees in status and priority.
+    rows = [(1, 7, "O", "3-MEDIUM", "1995-01-01"), (2, 8, "F", "5-LOW", "1995-01-02")]
+    spark.createDataFrame(
+        rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string, o_orderdate string"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    found = {tuple(r[:2]) for r in QUERIES["max_matching"](spark, str(tmp_path)).select("src", "dst").collect()}
+    assert found == {(7, 9131), (8, 9132)}
