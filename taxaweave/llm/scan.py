@@ -45,7 +45,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE^i and BASE^-i modulo 2^64 for i below n."""
     cache = worker_cache()
-    if len(getattr(cache, "powers", ((),))[0]) < n:
+    if not hasattr(cache, "powers") or len(cache.powers[0]) < n:
         size = max(n, CHUNK + 4096)
         both = []
         for base in (BASE, pow(BASE, -1, 1 << 64)):
