@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxaweave.llm import (
+    block_lloyd,
     hnsw,
     languages,
     line_rules,
@@ -131,3 +132,8 @@ TARGETS = {"clean": 0.95, "toxic": 0.03, "junk": 0.02}
 @query()
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"), table(spark, folder, "labels"), domain(), TARGETS)
+
+
+@query(block_lloyd.reference_sql())
+def op11_block_lloyd(spark: SparkSession, folder: str) -> DataFrame:
+    return block_lloyd.cluster(table(spark, folder, "embeddings"))
