@@ -17,6 +17,7 @@ from taxaweave.llm import (
     rule_ensemble,
     secret_spans,
     shards,
+    stripes,
     text_statistics,
     token_counts,
 )
@@ -137,3 +138,8 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query(block_lloyd.reference_sql())
 def op11_block_lloyd(spark: SparkSession, folder: str) -> DataFrame:
     return block_lloyd.cluster(table(spark, folder, "embeddings"))
+
+
+@query(stripes.reference_sql())
+def op12_stripes(spark: SparkSession, folder: str) -> DataFrame:
+    return stripes.collocations(table(spark, folder, "documents"))
