@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from taxaweave.llm import (
     block_lloyd,
+    ftrl,
     hnsw,
     languages,
     line_rules,
@@ -52,6 +53,11 @@ def remainder(divisor: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % divisor
 
 
+def held_out(divisor: int, wanted: int) -> Column:
+    """Whether a row is held out; one without id is not, and never teaches either."""
+    return F.coalesce(remainder(divisor) == wanted, F.lit(False))
+
+
 @query()
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     labels = table(spark, folder, "labels").select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
@@ -59,7 +65,7 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     taught = rows.join(labels.where(remainder(5) != 0), "doc_id")
     score = rule_ensemble.fit(taught, "quality").score()
     return rows.select(
-        "doc_id", (remainder(5) == 0).alias("held_out"), score.alias("score"), (score >= 0.3).cast("int").alias("predicted")
+        "doc_id", held_out(5, 0).alias("held_out"), score.alias("score"), (score >= 0.3).cast("int").alias("predicted")
     )
 
 
@@ -78,7 +84,7 @@ def op5_languages(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     dictionaries = languages.learn(docs.where(remainder(4) != 2))
     return languages.identify(docs, dictionaries).select(
-        "doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score", "margin", "reliable"
+        "doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score", "margin", "reliable"
     )
 
 
@@ -143,3 +149,13 @@ def op11_block_lloyd(spark: SparkSession, folder: str) -> DataFrame:
 @query(stripes.reference_sql())
 def op12_stripes(spark: SparkSession, folder: str) -> DataFrame:
     return stripes.collocations(table(spark, folder, "documents"))
+
+
+@query()
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = ftrl.learn(docs, table(spark, folder, "labels").where(remainder(4) != 2), "toxic")
+    scored = ftrl.score(docs, model)
+    return scored.select(
+        "doc_id", held_out(4, 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
