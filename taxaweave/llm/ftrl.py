@@ -4,7 +4,8 @@ A text is the set of its words, pairs of neighbours, and pairs with one word bet
 A feature counts 1 / sqrt(number of taught texts that hold it), so that chance moves every feature alike and one L1
 strength serves rare and common ones. Texts are dealt to batches; in a round the tasks sum the gradients of one batch per feature
 under the present weights, and each coordinate then takes its own FTRL step, with a rate that falls with its own
-squared gradients and a weight of zero until its sum passes the L1 strength. The few weights that are not zero are the model.
+squared gradients and a weight of zero until its sum passes the L1 strength. The intercept is fixed at the log odds of toxic texts,
+so that few weights are needed to tell clean ones. The weights that are not zero are the model.
 
 Features that can be learned are found first, by counting: those that ``LEAST`` toxic texts hold and whose first gradient
 passes ``SCREEN`` of the L1 strength. The model is fitted on at most ``SAMPLE`` labelled rows, chosen by the hash of the id;
@@ -33,7 +34,7 @@ SAMPLE = 24_000
 LEAST, SCREEN = 4, 0.7
 #: Batches, passes over them, and the parameters of the steps.
 BATCHES, PASSES = 4, 8
-ALPHA, BETA, L1, L2 = 3.0, 1.0, 1.6, 0.001
+ALPHA, BETA, L1, L2 = 3.0, 1.0, 1.2, 0.001
 #: Bits of the sieve of features that enough toxic texts hold.
 SIEVE = 1 << 22
 #: Gradients are summed in units of this part.
@@ -84,28 +85,22 @@ class Places:
 
 @dataclass
 class State:
-    """Sums of gradients (z) and of their squares (n) per coordinate; the last coordinate is the intercept, without L1."""
+    """Sums of gradients (z) and of their squares (n) of every coordinate. ``value``: what a feature counts where it is held."""
 
     value: np.ndarray
     z: np.ndarray = field(init=False)
     n: np.ndarray = field(init=False)
-    start: float = 0.0
 
     def __post_init__(self) -> None:
-        self.z, self.n = np.zeros(len(self.value) + 1), np.zeros(len(self.value) + 1)
+        self.z, self.n = np.zeros(len(self.value)), np.zeros(len(self.value))
 
     def weights(self) -> np.ndarray:
-        strength = np.append(np.full(len(self.value), L1), 0.0)
         rate = (BETA + np.sqrt(self.n)) / ALPHA + L2
-        w = np.where(np.abs(self.z) > strength, -(self.z - np.sign(self.z) * strength) / rate, 0.0)
-        w[-1] += self.start
-        return w
+        return np.where(np.abs(self.z) > L1, -(self.z - np.sign(self.z) * L1) / rate, 0.0)
 
     def step(self, total: np.ndarray, squares: np.ndarray) -> None:
         """Take the sums over a batch of the texts' gradients, and of their squares, at the present weights."""
-        scale = np.append(self.value, 1.0 / math.sqrt(max(squares[-1], 1.0) * 4))
-        w, g, s = self.weights(), total * scale, squares * scale * scale
-        w[-1] -= self.start
+        w, g, s = self.weights(), total * self.value, squares * self.value**2
         sigma = (np.sqrt(self.n + s) - np.sqrt(self.n)) / ALPHA
         self.z += g - sigma * w
         self.n += s
@@ -116,19 +111,16 @@ def probabilities(margin: np.ndarray) -> np.ndarray:
 
 
 def gradients(labels: np.ndarray, offsets: np.ndarray, places: np.ndarray, points: np.ndarray, intercept: float) -> tuple[np.ndarray, np.ndarray]:
-    """Sums over texts of gradients and of their squares per feature (last: of all texts), in units of 1 / UNIT.
+    """Sums over texts of gradients and of their squares per feature, in units of 1 / UNIT.
 
     ``points``: what holding a feature adds to the margin.
     """
     text = np.repeat(np.arange(len(labels)), np.diff(offsets))
     margin = intercept + np.bincount(text, weights=points[places], minlength=len(labels))
     g = np.rint((probabilities(margin) - labels) * UNIT)
-    total, squares = np.zeros(len(points) + 1), np.zeros(len(points) + 1)
     square = np.rint(g * g / UNIT)
-    total[:-1] = np.bincount(places, weights=g[text], minlength=len(points))
-    squares[:-1] = np.bincount(places, weights=square[text], minlength=len(points))
-    total[-1], squares[-1] = g.sum(), square.sum()
-    return total, squares  # whole numbers below 2^53
+    # Whole numbers below 2^53.
+    return tuple(np.bincount(places, weights=x[text], minlength=len(points)) for x in (g, square))
 
 
 @dataclass
@@ -229,7 +221,7 @@ def _sparse(hashes: np.ndarray):
 
 def _round(texts: DataFrame, points: np.ndarray, intercept: float) -> tuple[np.ndarray, np.ndarray]:
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, squares = np.zeros(len(points) + 1), np.zeros(len(points) + 1)
+        total, squares = np.zeros(len(points)), np.zeros(len(points))
         for batch in batches:
             places = batch.column("places")
             offsets = np.concatenate([[0], np.cumsum(places.value_lengths().to_numpy(zero_copy_only=False))])
@@ -245,7 +237,7 @@ def _round(texts: DataFrame, points: np.ndarray, intercept: float) -> tuple[np.n
     found = (
         texts.mapInArrow(sums, "place int, g long, s long").groupBy("place").agg(F.sum("g").alias("g"), F.sum("s").alias("s"))
     ).toPandas()
-    out = np.zeros((2, len(points) + 1))
+    out = np.zeros((2, len(points)))
     out[:, found["place"].to_numpy(np.int64)] = found[["g", "s"]].to_numpy(np.float64).T / UNIT
     return out[0], out[1]
 
@@ -262,14 +254,13 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, sample: int = SAMPLE)
     hashes, held = _candidates(rows, share)
     texts = written(rows.mapInArrow(_sparse(hashes), "label int, batch int, places array<int>"))
     discard(rows)
-    state = State(1.0 / np.sqrt(held), start=start)
+    state = State(1.0 / np.sqrt(held))
     for _ in range(PASSES):
         for batch in range(BATCHES):
-            w = state.weights()
-            state.step(*_round(texts.where(F.col("batch") == batch), w[:-1] * state.value, float(w[-1])))
-    w = state.weights()
-    some = np.flatnonzero(w[:-1])
-    return Model(hashes[some], (w[:-1] * state.value)[some], float(w[-1]))
+            state.step(*_round(texts.where(F.col("batch") == batch), state.weights() * state.value, start))
+    points = state.weights() * state.value
+    some = np.flatnonzero(points)
+    return Model(hashes[some], points[some], start)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
