@@ -226,3 +226,29 @@ def distance_ratio(
     return compared.where("d_s1 > 0 AND d_s2 IS NOT NULL").agg(
         F.avg(F.col("d_s2") / F.col("d_s1")).alias("ratio"), F.count(F.lit(1)).alias("pairs")
     )
+
+
+def distance_ratios(pairs: DataFrame, pairs_of: int = 10, seed: int = 1, taxon: str = "taxon") -> DataFrame:
+    """(tree, ratio, pairs): mean distance of ``second`` over that of ``first`` in each tree.
+
+    ``pairs``: (tree, taxon, first, second) sequences of two genes. Compared are all pairs of a sample of ``pairs_of``
+    taxa a tree, chosen by a hash; identical sequences of the first gene are left out, and trees without any pair.
+    """
+    from taxaweave.functions import jukes_cantor
+    from taxaweave.operators.ranking import number_rows
+
+    order = F.md5(F.concat_ws("/", F.lit(seed), F.col(taxon).cast("string")))
+    # At most ``pairs_of`` rows a tree, hence a bounded number of pairs.
+    sample = number_rows(pairs.where("first IS NOT NULL AND second IS NOT NULL"), [order, taxon], ["tree"], "_r").where(F.col("_r") <= pairs_of)
+    left, right = sample.alias("a"), sample.alias("b")
+
+    def distance(name):
+        one, two = F.col(f"a.{name}"), F.col(f"b.{name}")
+        share = F.levenshtein(one, two).cast("double") / F.greatest(F.length(one), F.length(two), F.lit(1))
+        return jukes_cantor(share).alias(f"d_{name}")
+
+    compared = left.join(right, (F.col("a.tree") == F.col("b.tree")) & (F.col("a._r") < F.col("b._r"))).select(
+        F.col("a.tree").alias("tree"), distance("first"), distance("second"))
+    return compared.where("d_first > 0 AND d_second IS NOT NULL").groupBy("tree").agg(
+        F.avg(F.col("d_second") / F.col("d_first")).alias("ratio"), F.count(F.lit(1)).alias("pairs")
+    )

@@ -1,5 +1,6 @@
 from taxaweave.plans import (  # noqa: F401
     alignment,
+    guided,
     linking,
     matrix,
     outliers,

@@ -19,8 +19,8 @@ from taxaweave.config import Settings
 from taxaweave.functions import quality_score
 from taxaweave.functions.columns import cut_off_for, cut_offs
 from taxaweave.operators import (
-    align, blocks, clean, clusters, genes, individuals, linking, matrix, naming, outliers, profile_scan,
-    similarity, taxonomy, treeparts, trees,
+    align, blocks, clean, clusters, genes, guided, individuals, linking, matrix, naming, outliers,
+    profile_scan, similarity, taxonomy, treeparts, trees,
 )
 from taxaweave.operators.components import stars
 from taxaweave.session import cut_lineage
@@ -264,9 +264,18 @@ def tree_clustering(db, s):
 
 
 def alignment_groups(db, s):
-    lineages = scored(db).where("lead = accno").select("gene", "taxon_string").where("taxon_string IS NOT NULL")
-    found = taxonomy.alignment_groups(lineages, s.group_on_genera)
-    db.replace("alignment_groups", found.withColumn("alignable", F.lit(1)))
+    leads = scored(db).where("lead = accno")
+    lineages = leads.select("gene", "taxon_string").where("taxon_string IS NOT NULL")
+    found = cut_lineage(taxonomy.alignment_groups(lineages, s.group_on_genera))
+    placed = _place(db, leads.select("gene", "accno", "sequence"), found)
+    spread = guided.alignability(cut_lineage(placed.select("gene", "grp", "accno", "sequence")))
+    marked = found.join(spread.select("gene", F.col("grp").alias("taxon"), "alignable"), ["gene", "taxon"], "left")
+    alignable = F.coalesce("alignable", F.lit(1))
+    if db.exists("distance_spread"):
+        # A gene whose clustered sequences scatter widely is not alignable in any group.
+        marked = marked.join(db.read("distance_spread").select("gene", F.col("mad").alias("gene_mad")), "gene", "left")
+        alignable = F.when(F.col("gene_mad") > guided.MAX_SPREAD, 0).otherwise(alignable)
+    db.replace("alignment_groups", cut_lineage(marked.select(*found.columns, alignable.cast("int").alias("alignable"))))
 
 
 def _store_taxa(db, taxa):
@@ -298,9 +307,14 @@ def _group_cells(db):
     cells = db.read("alignments").select("taxon", "gene", "accno").join(
         db.read("gene_sequences").select("gene", "accno", "sequence"), ["gene", "accno"]
     )
+    return _place(db, cells, db.read("alignment_groups"))
+
+
+def _place(db, cells, groups):
+    """``cells`` with their group ``grp`` and their lineage down to it."""
     lineages = db.read("gb_data").select("accno", F.explode(F.split("taxon_string", r"\s*;\s*")).alias("name"))
     grouped = lineages.withColumn("grp", F.regexp_replace("name", r"\s", "_")).join(
-        db.read("alignment_groups").select("gene", F.col("taxon").alias("grp")), "grp"
+        groups.select("gene", F.col("taxon").alias("grp")), "grp"
     ).groupBy("gene", "accno").agg(F.min("grp").alias("grp"))
     # Down to the group, or to the record where it has none.
     names = F.transform(F.split("taxon_string", r"\s*;\s*"), lambda name: F.regexp_replace(name, r"\s", "_"))
@@ -350,8 +364,55 @@ def _replicates(method):
     return int(found.group(1)) if found else 0
 
 
+def _align_guided(db, s, cells):
+    """Align what is alignable by itself, then the other groups in turn, each along the tree of a gene that is linked to its own."""
+    groups = db.read("alignment_groups")
+    known = cells.join(groups.select("gene", F.col("taxon").alias("grp"), "alignable"), ["gene", "grp"], "left").withColumn(
+        "alignable", F.coalesce("alignable", F.lit(1)))
+    known = cut_lineage(known)
+    if known.where("alignable <> 1").isEmpty():
+        return _align_cells(cells)
+    links = [(a, b, place) for group in config.gene_groups(s.linked_genes, _genes(db, ["all"])) for a in group for place, b in enumerate(group) if a != b]
+    linked = db.spark.createDataFrame(links, "gene string, guide string, place int")
+    at = known.select("taxon", "gene", "grp")
+    # One row a gene and one it is linked to: sent to all tasks.
+    needs = at.join(F.broadcast(linked), "gene").join(
+        at.select("taxon", F.col("gene").alias("guide"), F.col("grp").alias("guide_grp")), ["taxon", "guide"]
+    ).groupBy("gene", "grp", "guide", "guide_grp", "place").agg(F.count_distinct("taxon").alias("shared"))
+    rounds = cut_lineage(guided.guide_rounds(known.select("gene", "grp", "alignable"), needs))
+    columns = ["gene", "grp", "ranks", "taxon", "accno", "sequence"]
+    placed = cut_lineage(known.join(rounds, ["gene", "grp"]).select(*columns, "round", "guide"))
+    # Groups without a guide are aligned like the alignable ones, but guide none.
+    aligned = cut_lineage(align.align(placed.where("round = 0").select(*columns), ["gene", "grp"], "taxon"))
+    last = rounds.agg(F.max("round").alias("n")).first()["n"] or 0
+    for number in range(1, last + 1):
+        now = placed.where(F.col("round") == number).withColumn("tree", F.concat_ws("|", "gene", "grp"))
+        ready = cut_lineage(align.merge_by_lineage(aligned, ["gene"], "grp", "ranks", "taxon"))
+        guides = now.select("tree", "guide", "taxon").join(
+            ready.select(F.col("gene").alias("guide"), "taxon", "sequence"), ["guide", "taxon"])
+        nodes = cut_lineage(trees.build_trees(guides.select("tree", "taxon", "sequence")))
+        nodes = _scaled(now, guides, nodes)
+        _store_trees(db, nodes, "guide", "distance")
+        tips_ = trees.tips(nodes).withColumnRenamed("label", "taxon")
+        inside = now.join(tips_, ["tree", "taxon"], "left_semi")
+        guided_rows = guided.align_along(inside.select("tree", F.col("taxon").alias("label"), "sequence"), nodes)
+        done = cut_lineage(inside.drop("sequence").join(guided_rows.withColumnRenamed("label", "taxon"), ["tree", "taxon"]).select(*columns))
+        outside = now.join(tips_, ["tree", "taxon"], "left_anti").select(*columns)
+        aligned = cut_lineage(aligned.unionByName(guided.add_sequences(done, outside, ["gene", "grp"])))
+    late = align.align(placed.where("round IS NULL").select(*columns), ["gene", "grp"], "taxon")
+    aligned = cut_lineage(aligned.unionByName(late))
+    return align.merge_by_lineage(aligned, ["gene"], "grp", "ranks", "taxon").drop("grp", "ranks")
+
+
+def _scaled(now, guides, nodes):
+    """Guide trees with their branches in the measure of the gene they guide."""
+    pairs = now.select("tree", "taxon", F.col("sequence").alias("second")).join(
+        guides.select("tree", "taxon", F.translate("sequence", "-", "").alias("first")), ["tree", "taxon"])
+    return cut_lineage(guided.scale_branches(nodes, matrix.distance_ratios(pairs)))
+
+
 def align_sequences(db, s):
-    cells = _align_cells(_group_cells(db))
+    cells = _align_guided(db, s, cut_lineage(_group_cells(db)))
     if s.create_gene_trees:
         nodes = cut_lineage(_gene_trees(cells))
         if s.remove_outliers:
@@ -360,7 +421,17 @@ def align_sequences(db, s):
             drop = trees.tips(nodes).join(left, ["tree", "label"], "left_anti")
             if not drop.isEmpty():
                 nodes = cut_lineage(_gene_trees(cells))
-        _store_trees(db, nodes, "combined", "distance")
+        support = None
+        count = _replicates(s.phylo_method)
+        if count:
+            rows = cut_lineage(cells.select(F.col("gene").alias("tree"), "taxon", "sequence"))
+            replicates = cut_lineage(trees.build_trees(trees.resample(rows, count)))
+            if s.store_boot_trees:
+                db.replace("gene_boot_trees", trees.to_newick(replicates))
+            # A gene's name may hold the mark that divides it from the number of the replicate.
+            base = F.regexp_replace("tree", "/[0-9]+$", "")
+            nodes, support = cut_lineage(trees.support(nodes, replicates, base)), "support"
+        _store_trees(db, nodes, "combined", "distance", support=support)
     db.replace("alignments", cells.select("taxon", "gene", "accno", "sequence"))
 
 
@@ -368,6 +439,18 @@ def _combined(cells, genes):
     return matrix.concatenate(cells.where("sequence IS NOT NULL"), genes).withColumn("tree", F.lit("combined"))
 
 
+def _align_whole_tree(raw, nodes):
+    """Every gene's sequences along one tree; taxa that the tree lacks are added to the end result."""
+    genes = raw.select("gene").distinct()
+    # One copy of the tree for each gene of the group.
+    copies = cut_lineage(nodes.drop("tree").crossJoin(F.broadcast(genes)).withColumnRenamed("gene", "tree"))
+    rows = raw.select(F.col("gene").alias("tree"), F.col("taxon").alias("label"), "sequence")
+    done = guided.align_along(rows, copies).select(F.col("tree").alias("gene"), F.col("label").alias("taxon"), "sequence")
+    named = cut_lineage(raw.drop("sequence").join(done, ["gene", "taxon"]).select("taxon", "gene", "accno", "sequence"))
+    outside = raw.join(named.select("gene", "taxon"), ["gene", "taxon"], "left_anti").select("taxon", "gene", "accno", "sequence")
+    return guided.add_sequences(named, outside, ["gene"])
+
+
 def refine_alignments(db, s):
     """Realign along the current tree; keep rounds that shorten the tree."""
     kind, _, number = s.stop_criterion.partition("_")
@@ -386,8 +469,11 @@ def refine_alignments(db, s):
         best, best_cells, best_nodes = trees.tree_length(nodes).first()["total"], aligned, nodes
         rounds = since = 0
         while (rounds if kind.startswith("it") else since) < limit:
-            parts = treeparts.bounded_parts(nodes, s.max_alignment_group_size).select(F.col("label").alias("taxon"), F.col("part").alias("grp"))
-            cells = _align_cells(raw.join(parts, "taxon"))
+            if s.use_guide_tree:
+                cells = _align_whole_tree(raw, nodes)
+            else:
+                parts = treeparts.bounded_parts(nodes, s.max_alignment_group_size).select(F.col("label").alias("taxon"), F.col("part").alias("grp"))
+                cells = _align_cells(raw.join(parts, "taxon"))
             nodes = cut_lineage(trees.build_trees(_combined(cells, group)))
             total = trees.tree_length(nodes).first()["total"]
             rounds, since = rounds + 1, since + 1

@@ -52,3 +52,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/taxaweave-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def forget(df: DataFrame) -> None:
+    """Delete the table behind what :func:`cut_lineage` returned, once its successor is written; nothing may read it any more."""
+    folders = {name.rsplit("/", 1)[0] for name in df.inputFiles()}
+    spark = df.sparkSession
+    for folder in folders:
+        if folder.rsplit("/", 1)[-1].startswith("taxaweave-"):
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -159,3 +159,21 @@ def test_batch_file_round_trip(project):
 
 def test_linked_genes():
     assert config.gene_groups("a;b;x,d;e", ["a", "b", "c", "d"]) == [["a", "b"], ["d"], ["c"]]
+
+
+def test_groups_that_need_a_guide(spark, project):
+    """A gene marked as not alignable is aligned along the tree of the gene it is linked to."""
+    groups = spark.table("proj.alignment_groups").selectExpr("*").toPandas()
+    assert set(groups["alignable"]) <= {0, 1}
+    db = runner.Database(spark, "proj")
+    marked = spark.table("proj.alignment_groups").selectExpr("gene", "taxon", "if(gene = 'lsu', 0, 1) AS alignable")
+    from taxaweave.session import cut_lineage
+
+    db.replace("alignment_groups", cut_lineage(marked))
+    run(spark, project, "align_sequences", "-k", "its;lsu", "-p", "distance_bootstrap_2", "-Y", "n", "-G", "n")
+    cells = spark.table("proj.alignments")
+    assert cells.selectExpr("gene", "length(sequence) n").distinct().count() == cells.select("gene").distinct().count()
+    raw = {(r.gene, r.accno): r.sequence for r in spark.table("proj.gene_sequences").collect()}
+    assert all(r.sequence.replace("-", "").upper() == raw[r.gene, r.accno].upper() for r in cells.collect())
+    methods = {(r.taxon, r.gene.split("|")[0]) for r in spark.table("proj.trees").collect()}
+    assert ("combined", "lsu") in methods
