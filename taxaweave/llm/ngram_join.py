@@ -8,11 +8,13 @@ shared. The work goes in four steps, all exact:
    part with shingles stays equal; its content, hashed to 64 bits, is the key. A set with too many empty
    parts adds the keys of its prefix (the smallest hashes, of which a link shares one).
    Equal sets are one node from the start, so copies add no keys.
+   Keys go straight into the shuffle that finds the shared ones; only these are written.
 2. *Hubs.* Each node is compared with one node of its keys, in rounds, always one of
    another component; groups of near copies collapse here, without pairs among their members.
 3. *Tiles.* Keys that still hold several components are laid out as tiles (large ones
    in blocks). In a tile, the bits in which two hashed bitmaps differ bound the
-   overlap from above; of each node's pairs under the bound the closest go on.
+   overlap from above; of each node's pairs under the bound the closest go on. A pair that shares several of the
+   first keys of both is left to the first of them, and is given by the node whose component is the smaller one there.
 4. *Intersection* of the sorted arrays of a pair decides. Where more pairs of a node pass
    the bound, its tiles run again for more, until every pair is tried or within one component.
 
@@ -42,6 +44,8 @@ TILE = 1024
 LEAST_BITS, MOST_BITS, BITS_PER_SHINGLE = 256, 1 << 15, 8
 #: Closest pairs of a node with other components that are tried at first, and how many times more in each further round.
 FIRST, MORE = 2, 4
+#: Keys of a node, in the order of their sizes, that are asked whether a pair belongs to another tile.
+FIRST_KEYS = 4
 #: Rows of ids that are sent to all tasks at most (8 MB); larger tables are joined by a shuffle.
 SENT = 1_000_000
 #: Hub rounds go on while this share of their pairs link.
@@ -135,37 +139,64 @@ def band_keys(rows: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, percent:
     return row[order], key[order]
 
 
-def _node_scan(width: int, percent: int):
+def _node_scan(width: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in chunks(batch.column("text")):
                 rows, hashes, sizes = shingle_sets(chunk, width)
-                key_rows, keys = band_keys(rows, hashes, sizes, percent)
-                offsets = np.concatenate([[0], np.cumsum(counts_by_row(key_rows, chunk.rows))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(chunk.first, chunk.rows), pa.array(sizes),
-                     pa.array(_set_ids(rows, hashes, sizes).view(np.int64)),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.view(np.int64)))],
-                    names=["doc_id", "n_shingles", "node", "keys"],
+                    [batch.column("doc_id").slice(chunk.first, chunk.rows), pa.array(sizes), pa.array(_set_ids(rows, hashes, sizes).view(np.int64))],
+                    names=["doc_id", "n_shingles", "node"],
+                )
+
+    return scan
+
+
+def _unseen(node: np.ndarray, seen: set[int]) -> np.ndarray:
+    """Places of the nodes that a task meets for the first time."""
+    fresh = []
+    for k, value in enumerate(node.tolist()):
+        if value not in seen:
+            seen.add(value)
+            fresh.append(k)
+    return np.array(fresh, np.int64)
+
+
+def _key_scan(width: int, percent: int):
+    """Keys of every node, once a task."""
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            for chunk in chunks(batch.column("text")):
+                rows, hashes, sizes = shingle_sets(chunk, width)
+                node = _set_ids(rows, hashes, sizes)
+                fresh = np.zeros(chunk.rows, bool)
+                fresh[_unseen(node, seen)] = True
+                own = fresh[rows]
+                key_rows, keys = band_keys(rows[own], hashes[own], np.where(fresh, sizes, 0), percent)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(node[key_rows].view(np.int64)), pa.array(keys.view(np.int64))], names=["node", "key"]
                 )
 
     return scan
 
 
 def _sieved_sets(width: int, sieve):
-    """Sorted arrays of the documents whose id passes the sieve."""
+    """Sorted arrays of the documents whose id passes the sieve, each node once a task."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(sieve.value, np.uint64)
+        seen: set[int] = set()
         for batch in batches:
             place = batch.column("place").to_numpy()
             passed = (bits[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) > 0
             batch = batch.filter(pa.array(passed))
             for chunk in chunks(batch.column("text")):
                 rows, hashes, sizes = shingle_sets(chunk, width)
-                ends = np.concatenate([[0], np.cumsum(sizes)])
-                raw = [hashes[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                node, ends = _set_ids(rows, hashes, sizes), np.concatenate([[0], np.cumsum(sizes)])
+                fresh = _unseen(node, seen)
+                raw = [hashes[ends[k] : ends[k + 1]].tobytes() for k in fresh]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_set_ids(rows, hashes, sizes).view(np.int64)), pa.array(sizes), pa.array(raw, pa.binary()),
+                    [pa.array(node[fresh].view(np.int64)), pa.array(sizes[fresh]), pa.array(raw, pa.binary()),
                      pa.array([bitmap(np.frombuffer(r, np.uint64)).tobytes() for r in raw], pa.binary())],
                     names=["node", "size", "hashes", "bits"],
                 )
@@ -216,13 +247,32 @@ def differing_bits(maps: tuple[np.ndarray, np.ndarray, np.ndarray], left: np.nda
     return out
 
 
-def tile_survivors(tile, node, size, component, block, maps, percent: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of rows of one tile and different components that pass the bound.
+def _owned(key: np.ndarray, firsts: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether no key that both sides name among their first ones comes before the pair's own key."""
+    own = np.ones(len(left), bool)
+    before = np.ones(len(left), bool)
+    for k in range(firsts.shape[1]):
+        mine = firsts[left, k]
+        before &= mine != key[left]
+        for j in range(firsts.shape[1]):
+            own &= ~(before & (mine == firsts[right, j]) & (mine != 0))
+    return own
+
+
+def tile_survivors(tile, key, node, size, component, block, firsts, maps, percent: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows of one tile and different components that pass the bound, each from one tile.
 
-    For each left node the ``most`` closest are given; the third array tells
-    whether there are more. Rows stand by tile and node.
+    For each giving node the ``most`` closest are given; the third array tells
+    whether there are more. The node of the component that has fewer rows in the tile gives. Rows stand by tile and node.
     """
     n = len(tile)
+    order = np.lexsort((component, tile))
+    cut = np.ones(n, bool)
+    cut[1:] = (tile[order][1:] != tile[order][:-1]) | (component[order][1:] != component[order][:-1])
+    at = np.flatnonzero(cut)
+    rows_of = np.diff(np.append(at, n))
+    share = np.empty(n, np.int64)
+    share[order] = np.repeat(rows_of, rows_of)
     ends = np.searchsorted(tile, tile, "right")
     later = ends - np.arange(n) - 1
     crossing = np.zeros(n, bool)  # a tile of two blocks: only pairs between them
@@ -240,6 +290,10 @@ def tile_survivors(tile, node, size, component, block, maps, percent: int, most:
         ok = (component[left] != component[right]) & (~crossing[left] | (block[left] != block[right])) & (node[left] != node[right])
         ok &= np.minimum(size[left], size[right]) * 100 >= percent * np.maximum(size[left], size[right])
         left, right = left[ok], right[ok]
+        ok = _owned(key, firsts, left, right)
+        left, right = left[ok], right[ok]
+        swap = share[right] < share[left]
+        left, right = np.where(swap, right, left), np.where(swap, left, right)
         # The same pair may stand in many tiles.
         order = np.lexsort((node[right], node[left]))
         left, right = left[order], right[order]
@@ -269,9 +323,10 @@ def _tile_pairs(percent: int, most: int):
 
         def flush(table: pa.Table) -> pa.RecordBatch:
             table = table.combine_chunks()
-            names = ("tile", "node", "size", "component", "block")
+            names = ("tile", "key", "node", "size", "component", "block")
             bits = table.column("bits").combine_chunks() if table.column("bits").num_chunks != 1 else table.column("bits").chunk(0)
-            columns = tile_survivors(*(table.column(k).to_numpy() for k in names), _maps(bits), percent, most)
+            firsts = np.column_stack([table.column(f"first{k}").to_numpy() for k in range(FIRST_KEYS)])
+            columns = tile_survivors(*(table.column(k).to_numpy() for k in names), firsts, _maps(bits), percent, most)
             return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["a", "b", "more"])
 
         for batch in batches:
@@ -289,7 +344,7 @@ def _tile_pairs(percent: int, most: int):
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, links) of every pair by intersection of the sorted arrays."""
+    """(a, b, links) of every pair by intersection of the sorted arrays, as a written table."""
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
@@ -301,10 +356,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(ok, pa.bool_())], names=["a", "b", "links"])
 
     # Each side takes the arrays of its own pairs; only these meet.
-    pairs = _sent(written(pairs))
+    table = written(pairs)
+    pairs = _sent(table)
     left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")).join(pairs, "a")
     right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")).join(pairs, "b")
-    return left.join(right, ["a", "b"]).select("a", "b", "x", "y").mapInArrow(check, "a long, b long, links boolean")
+    found = written(left.join(right, ["a", "b"]).select("a", "b", "x", "y").mapInArrow(check, "a long, b long, links boolean"))
+    discard(table)
+    return found
 
 
 def _sent(ids: DataFrame) -> DataFrame:
@@ -330,25 +388,16 @@ def links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame
 
     The edges join the same components as all links do.
     """
-    spark = docs.sparkSession
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scanned = written(
-        ids.mapInArrow(_node_scan(width, percent), "doc_id long, n_shingles long, node long, keys array<long>")
-        .withColumn("row", F.monotonically_increasing_id())
-    )
-    rows = written(scanned.drop("keys"))
+    rows = written(ids.mapInArrow(_node_scan(width), "doc_id long, n_shingles long, node long"))
     nodes = rows.where("n_shingles > 0")
-    # Of the rows of one node the first stands for all.
-    copies = nodes.groupBy("node").agg(F.min("row").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    others = written(
-        nodes.select("node", "row").join(copies.select("node", "least"), "node").where("row > least").select("row")
-    )
-    firsts = scanned.where("n_shingles > 0").join(_sent(others), "row", "left_anti")
+    # A key that only one node has, however many copies of it there are, finds nothing.
+    by_key = Window.partitionBy("key")
     shared = written(
-        firsts.select("node", F.explode("keys").alias("key"))
-        .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("n > 1")
+        ids.select("text").mapInArrow(_key_scan(width, percent), "node long, key long")
+        .withColumn("low", F.min("node").over(by_key)).withColumn("high", F.max("node").over(by_key))
+        .where("low <> high").select("node", "key").distinct()
     )
-    discard(scanned)
     known = shared.select("node").distinct()
     sieve, place = _sieve(nodes.select("doc_id", "node").join(known, "node", "left_semi"))
     sets = written(
@@ -360,29 +409,43 @@ def links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame
     tested = None
     while True:
         labelled = _labelled(shared, tested)
-        now = written(_verified(_untried(_hub_pairs(labelled), tested), sets, percent))
-        tested = now if tested is None else written(tested.unionByName(now))
+        now = _verified(_untried(_hub_pairs(labelled), tested), sets, percent)
+        discard(labelled)
         found = now.agg(F.count(F.lit(1)).alias("n"), F.count_if("links").alias("links")).first()
+        tested = _grown(tested, now)
         if found["links"] <= WORTH * found["n"]:
             break
     most, pending = FIRST, None
     while True:
-        labelled = _labelled(shared, tested)
+        labelled = every = _labelled(shared, tested)
         if pending is not None:
             labelled = labelled.join(labelled.join(pending, "node").select("key").distinct(), "key", "left_semi")
         found = written(_tiles(labelled, sets, percent, most))
-        tested = written(tested.unionByName(_verified(_untried(found.select("a", "b").distinct(), tested), sets, percent)))
+        discard(every)
+        pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        tested = _grown(tested, _verified(_untried(pairs, tested), sets, percent))
         pending = written(found.where("more").select(F.col("a").alias("node")).distinct())
+        discard(found)
         if pending.isEmpty():
             break
         most *= MORE
-    return rows.select("doc_id", "n_shingles", "node"), tested.where("links").select("a", "b")
+    discard(shared), discard(sets)
+    return rows, tested.where("links").select("a", "b")
+
+
+def _grown(tested: DataFrame | None, now: DataFrame) -> DataFrame:
+    """``tested`` and ``now`` as one table; what they were is deleted."""
+    if tested is None:
+        return now
+    both = written(tested.unionByName(now))
+    discard(tested), discard(now)
+    return both
 
 
 def _labelled(shared: DataFrame, tested: DataFrame | None) -> DataFrame:
     """Keys and their nodes with the component that the links found so far put each node in."""
     if tested is None:
-        return shared.select("key", "node", F.col("node").alias("component"))
+        return written(shared.select("key", "node", F.col("node").alias("component")))
     merged = connected_components(tested.where("links"), "a", "b")
     return written(shared.join(merged, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")))
 
@@ -413,17 +476,24 @@ def _tiles(labelled: DataFrame, sets: DataFrame, percent: int, most: int) -> Dat
             F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"),
             F.bit_xor(F.xxhash64("node")).alias("who"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("who_else"),
         ).where("low <> high").groupBy("members", "who", "who_else").agg(F.min("key").alias("key"))
-        .select("key", F.ceil(F.col("members") / TILE).cast("int").alias("blocks"))
+        .select("key", "members", F.ceil(F.col("members") / TILE).cast("int").alias("blocks"))
     )
     own = F.pmod(F.hash("node"), "blocks")
+    open_rows = labelled.join(open_keys, "key")
+    first = F.slice(F.array_sort(F.collect_list(F.struct("members", "key"))), 1, FIRST_KEYS)["key"]
+    firsts = open_rows.groupBy("node").agg(first.alias("firsts")).select(
+        "node", *[F.coalesce(F.try_element_at("firsts", F.lit(k + 1)), F.lit(0)).alias(f"first{k}") for k in range(FIRST_KEYS)]
+    )
     laid = (
-        labelled.join(open_keys, "key").withColumn("block", own)
+        open_rows.withColumn("block", own)
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("tile", F.xxhash64("key", F.least("block", "with"), F.greatest("block", "with")))
-        .select("tile", "node", "component", "block")
+        .select("tile", "key", "node", "component", "block")
     )
+    known = sets.select("node", "size", "bits").join(firsts, "node")
+    names = [f"first{k}" for k in range(FIRST_KEYS)]
     return (
-        laid.join(sets.select("node", "size", "bits"), "node").select("tile", "node", "size", "component", "block", "bits")
+        laid.join(known, "node").select("tile", "key", "node", "size", "component", "block", *names, "bits")
         .repartition("tile").sortWithinPartitions("tile", "node")
         .mapInArrow(_tile_pairs(percent, most), "a long, b long, more boolean")
     )
