@@ -8,5 +8,6 @@ from taxaweave.plans import (  # noqa: F401
     regions,
     representatives,
     taxonomy,
+    tree_scores,
 )
 from taxaweave.plans.registry import QUERIES, SQL  # noqa: F401
