@@ -7,6 +7,7 @@ from taxaweave.plans import (  # noqa: F401
     records,
     regions,
     representatives,
+    sources,
     taxonomy,
     tree_scores,
 )

@@ -34,10 +34,10 @@ def merged_alignment(spark, d):
     return align.merge_groups(cut_lineage(align.align(parts, ["gene", "grp"])), ["gene"], "grp")
 
 
-def _part_rows(spark, d, tree="p_brand"):
-    """Parts of a brand (or another tree) as aligned rows: digests spelled in bases."""
+def _part_rows(spark, d):
+    """Parts of a brand as aligned rows: digests spelled in bases."""
     return table(spark, d, "part").select(
-        (F.col(tree) if isinstance(tree, str) else tree).alias("tree"), F.col("p_partkey").cast("string").alias("taxon"),
+        F.col("p_brand").alias("tree"), F.col("p_partkey").cast("string").alias("taxon"),
         F.translate(F.concat(F.md5("p_name"), F.md5("p_type"), F.md5(F.col("p_size").cast("string"))), HEX, BASES).alias("sequence"),
     )
 
@@ -58,9 +58,8 @@ def bootstrap_support(spark, d):
 
 @query()
 def bounded_tree_parts(spark, d):
-    # Trees of the parts of one brand family and size, small enough that six tips cut them at every scale.
-    rows = _part_rows(spark, d, F.concat_ws("/", F.substring("p_brand", 1, 7), "p_size"))
-    return treeparts.bounded_parts(cut_lineage(trees.build_trees(rows)), 6)
+    """Trees of the parts of a brand, cut into parts of at most six tips."""
+    return treeparts.bounded_parts(cut_lineage(trees.build_trees(_part_rows(spark, d))), 6)
 
 
 TIPS = """

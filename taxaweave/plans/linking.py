@@ -79,16 +79,15 @@ def link_genes_conservative(spark, d):
     return linking.link_conservative(sequences(spark, d), 50000)
 
 
-def _sides(spark, d):
+def _sides(spark, d, columns):
+    """All orders on both sides: customers against order dates."""
     orders = table(spark, d, "orders")
-    left = orders.where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("unit"), "o_orderstatus")
-    right = orders.where("o_orderpriority = '2-HIGH'").select(
-        F.datediff("o_orderdate", F.lit("1970-01-01")).cast("long").alias("unit"), "o_orderstatus"
-    )
+    left = orders.select(F.col("o_custkey").alias("unit"), *columns)
+    right = orders.select(F.datediff("o_orderdate", F.lit("1970-01-01")).cast("long").alias("unit"), *columns)
     return left, right
 
 
-def _edge_query(kind):
+def _edge_query(kind, columns):
     """Edge scores of one kind between classes of customers and classes of dates."""
     number = "count(*)" if kind == "a" else "1"
     score = {
@@ -96,28 +95,29 @@ def _edge_query(kind):
         "h": "CASE WHEN m = t THEN 2.0 ELSE 1.0 END",
     }[kind]
 
-    def side(letter, priority, unit):
+    def side(letter, unit):
+        values = " UNION ALL ".join(
+            f"SELECT {unit} AS unit, {i} AS col, {c} AS value, {number} AS n FROM orders GROUP BY ALL" for i, c in enumerate(columns))
         return f"""
-{letter}1 AS (SELECT {unit} AS unit, o_orderstatus AS value, {number} AS n FROM orders
-  WHERE o_orderpriority = '{priority}' GROUP BY ALL),
-{letter}2 AS (SELECT unit, string_agg(value || n, ',' ORDER BY value) AS sig, sum(n) AS total FROM {letter}1 GROUP BY unit),
+{letter}1 AS (SELECT *, sum(n) OVER (PARTITION BY unit, col) AS total FROM ({values})),
+{letter}2 AS (SELECT unit, string_agg(col || value || n, ',' ORDER BY col, value) AS sig FROM {letter}1 GROUP BY unit),
 {letter}3 AS (SELECT sig, min(unit) AS class, count(*) AS units FROM {letter}2 GROUP BY sig),
-{letter} AS (SELECT class, units, value, n, total FROM {letter}3 JOIN {letter}2 USING (sig) JOIN {letter}1
-  ON {letter}1.unit = {letter}3.class AND {letter}2.unit = {letter}3.class)"""
+{letter} AS (SELECT class, units, col, value, n, total FROM {letter}3 JOIN {letter}1 ON {letter}1.unit = {letter}3.class)"""
 
     sql = f"""
-WITH {side('l', '1-URGENT', 'o_custkey')}, {side('r', '2-HIGH', "(o_orderdate::DATE - DATE '1970-01-01')::BIGINT")},
-p AS (SELECT l.class AS src, r.class AS dst, l.units AS src_units, r.units AS dst_units,
-        sum(l.n * r.n) AS m, max(l.total * r.total) AS t FROM l JOIN r ON l.value = r.value GROUP BY ALL)
-SELECT src, dst, src_units::BIGINT AS src_units, dst_units::BIGINT AS dst_units, ({score})::DOUBLE AS weight
-FROM p WHERE {score} > 0
+WITH {side('l', 'o_custkey')}, {side('r', "(o_orderdate::DATE - DATE '1970-01-01')::BIGINT")},
+p AS (SELECT l.class AS src, r.class AS dst, l.units AS src_units, r.units AS dst_units, l.col,
+        sum(l.n * r.n) AS m, max(l.total * r.total) AS t FROM l JOIN r ON l.value = r.value AND l.col = r.col GROUP BY ALL)
+SELECT src, dst, src_units::BIGINT AS src_units, dst_units::BIGINT AS dst_units, sum({score})::DOUBLE AS weight
+FROM p GROUP BY ALL HAVING sum({score}) > 0
 """
 
     def run(spark, d):
-        left, right = _sides(spark, d)
-        values1, units1 = linking.profile_classes(left, "unit", ["o_orderstatus"], [kind])
-        values2, units2 = linking.profile_classes(right, "unit", ["o_orderstatus"], [kind])
-        edges = linking.edge_scores(values1, values2, [kind], [2])
+        left, right = _sides(spark, d, columns)
+        kinds = [kind] * len(columns)
+        values1, units1 = linking.profile_classes(left, "unit", columns, kinds)
+        values2, units2 = linking.profile_classes(right, "unit", columns, kinds)
+        edges = linking.edge_scores(values1, values2, kinds, [2] * len(columns))
         sizes1 = units1.groupBy(F.col("class").alias("src")).agg(F.count(F.lit(1)).alias("src_units"))
         sizes2 = units2.groupBy(F.col("class").alias("dst")).agg(F.count(F.lit(1)).alias("dst_units"))
         return edges.join(sizes1, "src").join(sizes2, "dst").select("src", "dst", "src_units", "dst_units", "weight")
@@ -125,8 +125,10 @@ FROM p WHERE {score} > 0
     query(sql, name=f"edge_scores_{kind}")(run)
 
 
-for _kind in "oaeh":
-    _edge_query(_kind)
+# Counts per value make nearly every unit a class of its own: one column for them, two for the others.
+for _kind in "oeh":
+    _edge_query(_kind, ["o_orderstatus", "o_orderpriority"])
+_edge_query("a", ["o_orderstatus"])
 
 
 @query()

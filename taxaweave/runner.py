@@ -20,8 +20,9 @@ from taxaweave.functions import quality_score
 from taxaweave.functions.columns import cut_off_for, cut_offs
 from taxaweave.operators import (
     align, blocks, clean, clusters, genes, guided, individuals, linking, matrix, naming, outliers,
-    profile_scan, similarity, taxonomy, treeparts, trees,
+    profile_scan, similarity, taxonomy, tree_scores, treeparts, trees,
 )
+from taxaweave.operators import rogues as rogue_search
 from taxaweave.operators.components import stars
 from taxaweave.session import cut_lineage
 from taxaweave.sinks import text as sink
@@ -451,8 +452,33 @@ def _align_whole_tree(raw, nodes):
     return guided.add_sequences(named, outside, ["gene"])
 
 
+def _badness(s, rows, nodes):
+    """What refinement makes small: the length of the tree, its changes, or minus its log-likelihood, as ``phylo_method`` begins."""
+    cells = rows.select("tree", F.col("taxon").alias("label"), "sequence")
+    if s.phylo_method.startswith("likelihood"):
+        return -tree_scores.fitted_likelihood(cells, nodes).first()["log_likelihood"]
+    if s.phylo_method.startswith("parsimony"):
+        return tree_scores.parsimony(cells, nodes).first()["changes"]
+    return trees.tree_length(nodes).first()["total"]
+
+
+def _start_tree(db, s, rows, name):
+    """The stored tree of these genes, without taxa that have no row, and with those placed that it lacks; otherwise a fresh one."""
+    rows = cut_lineage(rows)
+    stored = db.read("trees").where((F.col("gene") == name) & (F.col("taxon") == "combined")) if db.exists("trees") else None
+    if stored is None or stored.isEmpty():
+        return cut_lineage(trees.build_trees(rows))
+    nodes = cut_lineage(trees.parse_newick(stored.select(F.lit("combined").alias("tree"), F.col("tree").alias("newick"))))
+    nodes = cut_lineage(trees.keep_tips(nodes, rows.select(F.col("taxon").alias("label"))))
+    if trees.tips(nodes).limit(4).count() < 4:
+        return cut_lineage(trees.build_trees(rows))
+    cells = rows.select("tree", F.col("taxon").alias("label"), "sequence")
+    placed = cut_lineage(tree_scores.placements(cells, nodes))
+    return nodes if placed.isEmpty() else cut_lineage(tree_scores.insert_tips(nodes, placed))
+
+
 def refine_alignments(db, s):
-    """Realign along the current tree; keep rounds that shorten the tree."""
+    """Realign along the current tree; keep rounds that make the tree better."""
     kind, _, number = s.stop_criterion.partition("_")
     limit = int(number or 3)
     for group in config.gene_groups(s.linked_genes, _genes(db, s.use_genes)):
@@ -465,8 +491,8 @@ def refine_alignments(db, s):
         aligned = cut_lineage(db.read("alignments").where(F.col("gene").isin(*group) & F.col("sequence").isNotNull()))
         if aligned.isEmpty():
             aligned = _align_cells(raw.withColumn("grp", F.lit("all")))
-        nodes = cut_lineage(trees.build_trees(_combined(aligned, group)))
-        best, best_cells, best_nodes = trees.tree_length(nodes).first()["total"], aligned, nodes
+        nodes = _start_tree(db, s, _combined(aligned, group), ",".join(group))
+        best, best_cells, best_nodes = _badness(s, _combined(aligned, group), nodes), aligned, nodes
         rounds = since = 0
         while (rounds if kind.startswith("it") else since) < limit:
             if s.use_guide_tree:
@@ -475,7 +501,7 @@ def refine_alignments(db, s):
                 parts = treeparts.bounded_parts(nodes, s.max_alignment_group_size).select(F.col("label").alias("taxon"), F.col("part").alias("grp"))
                 cells = _align_cells(raw.join(parts, "taxon"))
             nodes = cut_lineage(trees.build_trees(_combined(cells, group)))
-            total = trees.tree_length(nodes).first()["total"]
+            total = _badness(s, _combined(cells, group), nodes)
             rounds, since = rounds + 1, since + 1
             if total < best:
                 best, best_cells, best_nodes, since = total, cells, nodes, 0
@@ -517,13 +543,22 @@ def concatenated_tree(db, s):
     _store_trees(db, nodes, "combined", "distance", "combined", "support" if count else None)
 
 
+def _rogues(db, s):
+    """Taxa listed in ``rogue_file`` (tab-separated, third column), or those found in the bootstrap trees."""
+    if s.rogue_file:
+        lines = db.spark.read.option("sep", "\t").csv(s.rogue_file)
+        names = F.trim(lines[lines.columns[2]])
+        return lines.select(names.alias("label")).where("label IS NOT NULL AND NOT label IN ('taxon', 'NA')").distinct()
+    if not db.exists("boot_trees"):
+        raise ValueError("exclude_rogues needs rogue_file, or the bootstrap trees that concatenated_tree stores with store_boot_trees")
+    found = cut_lineage(rogue_search.rogue_taxa(trees.parse_newick(db.read("boot_trees"))))
+    db.replace("rogue_report", found)
+    return found.select("label")
+
+
 def exclude_rogues(db, s):
-    """Remove the taxa listed in ``rogue_file`` (tab-separated, third column) where asked."""
-    if not s.rogue_file:
-        raise ValueError("exclude_rogues needs rogue_file")
-    lines = db.spark.read.option("sep", "\t").csv(s.rogue_file)
-    names = F.trim(lines[lines.columns[2]])
-    rogues = cut_lineage(lines.select(names.alias("label")).where("label IS NOT NULL AND NOT label IN ('taxon', 'NA')").distinct())
+    """Remove rogue taxa where asked: those of ``rogue_file``, or without it those found by search."""
+    rogues = cut_lineage(_rogues(db, s))
     stored = db.read("trees").where("taxon = 'combined' AND gene = 'combined'").select(F.col("gene").alias("tree"), F.col("tree").alias("newick"))
     nodes = cut_lineage(trees.prune(trees.parse_newick(stored), rogues))
     support = None

@@ -101,9 +101,14 @@ def short_enough(records: DataFrame, max_length: int) -> DataFrame:
     return records.where(F.col("sequence").isNull() | (F.length("sequence") <= max_length))
 
 
+def skipped(spark: SparkSession, path: str, max_length: int = DEFAULT_MAX_LENGTH) -> DataFrame:
+    """(skipped): how many records are longer than ``max_length``. Only their bases are looked at."""
+    return parse(entries(spark, path)).where(F.length("sequence") > max_length).agg(F.count(F.lit(1)).alias("skipped"))
+
+
 def skipped_count(spark: SparkSession, path: str, max_length: int = DEFAULT_MAX_LENGTH) -> int:
-    """How many records are longer than ``max_length``."""
-    return parse(entries(spark, path)).where(F.length("sequence") > max_length).count()
+    """The number of :func:`skipped`."""
+    return skipped(spark, path, max_length).first()["skipped"]
 
 
 def odd_lineage_lines(texts: DataFrame) -> DataFrame:

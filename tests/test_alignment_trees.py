@@ -112,6 +112,7 @@ def test_tree_parts(spark):
     clades = {r["label"]: r["part"] for r in treeparts.same_value_clades(nodes, values).collect()}
     assert clades["a"] == clades["b"] and clades["c"] == clades["d"] == clades["e"]
     assert len({clades["a"], clades["c"], clades["f"]}) == 3
+    assert set(treeparts.bounded_parts(nodes, 2).collect()) == set(treeparts.bounded_parts(nodes, 2, 0).collect())
     sizes = treeparts.bounded_parts(nodes, 2).groupBy("part").count().collect()
     assert max(r["count"] for r in sizes) <= 2 and sum(r["count"] for r in sizes) == 6
 
