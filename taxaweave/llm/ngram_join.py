@@ -43,7 +43,7 @@ SIEVE = 1 << 22
 TILE = 1024
 LEAST_BITS, MOST_BITS, BITS_PER_SHINGLE = 256, 1 << 15, 8
 #: Closest pairs of a node with other components that are tried at first, and how many times more in each further round.
-FIRST, MORE = 2, 4
+FIRST, MORE = 2, 64
 #: Keys of a node, in the order of their sizes, that are asked whether a pair belongs to another tile.
 FIRST_KEYS = 4
 #: Rows of ids that are sent to all tasks at most (8 MB); larger tables are joined by a shuffle.
@@ -383,11 +383,8 @@ def _sieve(ids: DataFrame):
     return ids.sparkSession.sparkContext.broadcast(bits.tobytes()), place
 
 
-def links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
-    """(rows: doc_id, n_shingles, node) of every document, and edges (a, b) between nodes that link.
-
-    The edges join the same components as all links do.
-    """
+def linked(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """((doc_id, n_shingles, node) of every document, (node, component) of every node that shares a key)."""
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = written(ids.mapInArrow(_node_scan(width), "doc_id long, n_shingles long, node long"))
     nodes = rows.where("n_shingles > 0")
@@ -405,32 +402,45 @@ def links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame
         .mapInArrow(_sieved_sets(width, sieve), "node long, size long, hashes binary, bits binary")
         .join(known, "node", "left_semi").dropDuplicates(["node"])
     )
-
-    tested = None
+    parts, tested = written(known.withColumn("component", F.col("node"))), None
     while True:
-        labelled = _labelled(shared, tested)
+        labelled = written(shared.join(parts, "node"))
         now = _verified(_untried(_hub_pairs(labelled), tested), sets, percent)
         discard(labelled)
+        parts = _merged(parts, now)
         found = now.agg(F.count(F.lit(1)).alias("n"), F.count_if("links").alias("links")).first()
         tested = _grown(tested, now)
         if found["links"] <= WORTH * found["n"]:
             break
     most, pending = FIRST, None
     while True:
-        labelled = every = _labelled(shared, tested)
+        labelled = every = written(shared.join(parts, "node"))
         if pending is not None:
             labelled = labelled.join(labelled.join(pending, "node").select("key").distinct(), "key", "left_semi")
         found = written(_tiles(labelled, sets, percent, most))
         discard(every)
         pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        tested = _grown(tested, _verified(_untried(pairs, tested), sets, percent))
+        now = _verified(_untried(pairs, tested), sets, percent)
+        parts = _merged(parts, now)
+        tested = _grown(tested, now)
         pending = written(found.where("more").select(F.col("a").alias("node")).distinct())
         discard(found)
         if pending.isEmpty():
             break
         most *= MORE
-    discard(shared), discard(sets)
-    return rows, tested.where("links").select("a", "b")
+    discard(shared), discard(sets), discard(tested)
+    return rows, parts
+
+
+def _merged(parts: DataFrame, now: DataFrame) -> DataFrame:
+    """``parts`` after the links among ``now``: only components that a new link joins change."""
+    ends = now.where("links").join(parts.select(F.col("node").alias("a"), F.col("component").alias("u")), "a").join(
+        parts.select(F.col("node").alias("b"), F.col("component").alias("v")), "b")
+    joined = connected_components(ends.where("u <> v").select("u", "v"), "u", "v").select(
+        F.col("node").alias("old"), F.col("component").alias("new"))
+    after = written(parts.join(joined, F.col("component") == F.col("old"), "left").select("node", F.coalesce("new", "component").alias("component")))
+    discard(parts)
+    return after
 
 
 def _grown(tested: DataFrame | None, now: DataFrame) -> DataFrame:
@@ -442,14 +452,6 @@ def _grown(tested: DataFrame | None, now: DataFrame) -> DataFrame:
     return both
 
 
-def _labelled(shared: DataFrame, tested: DataFrame | None) -> DataFrame:
-    """Keys and their nodes with the component that the links found so far put each node in."""
-    if tested is None:
-        return written(shared.select("key", "node", F.col("node").alias("component")))
-    merged = connected_components(tested.where("links"), "a", "b")
-    return written(shared.join(merged, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")))
-
-
 def _untried(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
     return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
 
@@ -501,9 +503,8 @@ def _tiles(labelled: DataFrame, sets: DataFrame, percent: int, most: int) -> Dat
 
 def components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document: the smallest doc_id that links reach."""
-    rows, edges = links(docs, width, percent)
-    merged = connected_components(edges, "a", "b")
-    labelled = rows.join(merged, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows, parts = linked(docs, width, percent)
+    labelled = rows.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     some = labelled.where("n_shingles > 0")
     least = some.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("members")).where("members > 1")
     return labelled.join(least.withColumnRenamed("component", "c"), (F.col("component") == F.col("c")) & (F.col("n_shingles") > 0), "left").select(
