@@ -8,7 +8,7 @@ product is the nearest point.
 
 Nulls and odd rows: vectors that are null, empty, zero or hold null or non-finite components take no part,
 nor do those of another length than most; ties go to the smaller vec_id; repeated rows of
-one vec_id count once; an empty table gives an empty result.
+one vec_id count once, and of different vectors under one vec_id the smallest in order counts; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -186,7 +186,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, width: int = SEARC
     spark = vectors.sparkSession
     # Of equal vectors, k + 1 ids are all that a list of k can show besides the query itself.
     ranked = F.row_number().over(Window.partitionBy("point").orderBy("vec_id"))
-    rows = written(valid(vectors).withColumn("point", F.xxhash64("v")).dropDuplicates(["vec_id"]))
+    rows = written(valid(vectors).groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("point", F.xxhash64("v")))
     members = written(rows.withColumn("n", ranked).where(F.col("n") <= k + 1))
     points = members.where("n = 1").select("point", "v")
     facts = points.agg(F.count(F.lit(1)).alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("most")).collect()[0]
@@ -197,7 +197,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, width: int = SEARC
         F.pmod(F.hash("point", F.lit("shard")), F.lit(shards)).alias("shard"), F.lit(0).alias("kind"), F.col("point").alias("id"), "v"
     ).unionByName(
         queries.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("kind"), F.col("query_id").alias("id"), F.col("q").alias("v"))
-    ).repartition(shards, "shard").sortWithinPartitions("shard", "kind", "id")
+    ).repartitionByRange(shards, "shard").sortWithinPartitions("shard", "kind", "id")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, kept, names, graph = None, [], [], None

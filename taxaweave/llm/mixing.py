@@ -12,7 +12,8 @@ domains apart best; it is fitted on at most ``SAMPLE`` labelled rows.
 
 Nulls and odd rows: a null text has no tokens, and a posterior as an empty one; labels that are null do not teach;
 labelled rows of fewer than two domains give every document that domain (or the first) with certainty; a domain that no document
-belongs to cannot be reached and leaves a misfit; repeated rows get equal rates; an empty table gives an empty result.
+belongs to, or that no labelled row names (its posterior is 0), cannot be reached: its target stays a misfit, while the others reach
+theirs; repeated rows get equal rates; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -225,19 +226,20 @@ def rates(members: DataFrame, targets: np.ndarray) -> tuple[DataFrame, list[np.n
     return members.mapInArrow(final, "doc_id long, tokens long, posterior array<double>, rate double"), history
 
 
-def mix(docs: DataFrame, labels: DataFrame, domain: Column, targets: dict[str, float]) -> DataFrame:
-    """(doc_id, tokens, posterior, rate, copies) of every document.
+def mix(docs: DataFrame, labels: DataFrame, domain: Column, targets: dict[str, float], key: Column | None = None) -> DataFrame:
+    """(doc_id, tokens, a posterior ``p_`` of every target, rate, copies) of every document.
 
     ``copies`` is the rate rounded up or down by a hash of the id, so that its expectation is the rate.
+    With ``key``, a number per document, that stands in the place of the id in the result.
     """
     classifier = learn(docs, labels, domain, list(targets))
     order = classifier.domains
-    found = written(posteriors(docs, classifier))
+    found = written(posteriors(docs if key is None else docs.select(key.alias("doc_id"), "text"), classifier))
     total = sum(targets.values())
     rated, _ = rates(found, np.array([targets[d] / total for d in order]))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("copies")), F.lit(1 << 30)) / float(1 << 30)
     shown = F.map_from_arrays(F.array(*[F.lit(d) for d in order]), F.col("posterior"))
     return rated.select(
-        "doc_id", "tokens", *[F.element_at(shown, d).alias(f"p_{d}") for d in targets if d in order], "rate",
+        "doc_id", "tokens", *[F.coalesce(F.try_element_at(shown, F.lit(d)), F.lit(0.0)).alias(f"p_{d}") for d in targets], "rate",
         F.floor(F.col("rate") + draw).cast("int").alias("copies"),
     )
