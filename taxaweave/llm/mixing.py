@@ -156,21 +156,23 @@ def telling(held: np.ndarray, totals: np.ndarray, most: int) -> np.ndarray:
     return best[value[best] > 0]
 
 
-def posteriors(docs: DataFrame, classifier: Classifier) -> DataFrame:
-    """``doc_id``, ``tokens`` and ``posterior`` (in the order of the classifier's domains) of every document."""
+def posteriors(docs: DataFrame, classifier: Classifier, *more: str) -> DataFrame:
+    """``doc_id``, ``tokens`` and ``posterior`` (in the order of the classifier's domains) of every document, and its columns ``more``."""
+    names = ["doc_id", *more]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *more, "text")
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in chunks(batch.column("text")):
                 table, n_words = _features(chunk, classifier.column)
                 p = classifier.posteriors(table)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(chunk.first, chunk.rows), pa.array(n_words), pa.array(list(p), pa.list_(pa.float64()))],
-                    names=["doc_id", "tokens", "posterior"],
+                    [*(batch.column(c).slice(chunk.first, chunk.rows) for c in names), pa.array(n_words), pa.array(list(p), pa.list_(pa.float64()))],
+                    names=[*names, "tokens", "posterior"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        scan, "doc_id long, tokens long, posterior array<double>"
-    )
+    types = dict(rows.dtypes)
+    return rows.mapInArrow(scan, ", ".join(f"{c} {types[c]}" for c in names) + ", tokens long, posterior array<double>")
 
 
 def _table(batch: pa.RecordBatch) -> np.ndarray:
@@ -223,23 +225,25 @@ def rates(members: DataFrame, targets: np.ndarray) -> tuple[DataFrame, list[np.n
                 [*batch.columns, pa.array(replay(_table(batch), moves))], names=[*batch.schema.names, "rate"]
             )
 
-    return members.mapInArrow(final, "doc_id long, tokens long, posterior array<double>, rate double"), history
+    schema = ", ".join(f"{name} {kind}" for name, kind in members.dtypes)
+    return members.mapInArrow(final, f"{schema}, rate double"), history
 
 
 def mix(docs: DataFrame, labels: DataFrame, domain: Column, targets: dict[str, float], key: Column | None = None) -> DataFrame:
     """(doc_id, tokens, a posterior ``p_`` of every target, rate, copies) of every document.
 
     ``copies`` is the rate rounded up or down by a hash of the id, so that its expectation is the rate.
-    With ``key``, a number per document, that stands in the place of the id in the result.
+    With ``key``, a number per document, the result has it as ``row_key``.
     """
     classifier = learn(docs, labels, domain, list(targets))
     order = classifier.domains
-    found = written(posteriors(docs if key is None else docs.select(key.alias("doc_id"), "text"), classifier))
+    more = [] if key is None else ["row_key"]
+    found = written(posteriors(docs if key is None else docs.select("doc_id", key.alias("row_key"), "text"), classifier, *more))
     total = sum(targets.values())
     rated, _ = rates(found, np.array([targets[d] / total for d in order]))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("copies")), F.lit(1 << 30)) / float(1 << 30)
     shown = F.map_from_arrays(F.array(*[F.lit(d) for d in order]), F.col("posterior"))
     return rated.select(
-        "doc_id", "tokens", *[F.coalesce(F.try_element_at(shown, F.lit(d)), F.lit(0.0)).alias(f"p_{d}") for d in targets], "rate",
+        "doc_id", *more, "tokens", *[F.coalesce(F.try_element_at(shown, F.lit(d)), F.lit(0.0)).alias(f"p_{d}") for d in targets], "rate",
         F.floor(F.col("rate") + draw).cast("int").alias("copies"),
     )

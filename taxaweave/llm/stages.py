@@ -69,9 +69,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     found = mixing_.mix(docs, labels, domain(), TARGETS, row_key())
-    copies = found.groupBy("doc_id").agg(F.max("copies").alias("copies")).where("copies > 0")
+    copies = found.groupBy("row_key").agg(F.max("copies").alias("copies")).where("copies > 0")
     again = F.explode(F.sequence(F.lit(1), F.col("copies")))
-    times = copies.select(F.col("doc_id").alias("mixed_key"), again.alias("mixed_copy"))
+    times = copies.select(F.col("row_key").alias("mixed_key"), again.alias("mixed_copy"))
     return docs.join(times, row_key() == F.col("mixed_key")).select(*docs.columns)
 
 

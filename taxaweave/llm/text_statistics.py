@@ -13,7 +13,7 @@ from taxaweave.llm.scan import Chunk, chunks, counts_by_row, mix, span_hashes, s
 
 NAMES = (
     "log_words", "word_length", "symbol_words", "symbol_chars", "upper_chars", "upper_words", "mark_words", "bar_words",
-    "digit_words", "distinct_words", "same_as_before", "repeated_windows", "repeated_lines", "top_word", "stop_words",
+    "digit_words", "distinct_words", "same_as_before", "repeated_windows", "repeated_lines", "top_word", "short_words",
 )
 #: Fixed values.
 SYMBOLS, MARKS = "#*$%&<>@~^=+\\{}[]", "!?"
