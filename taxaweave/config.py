@@ -59,6 +59,7 @@ OPTIONS = (
     ("rm_rogues_from_ml_tree", ("-z",), "switch", False),
     ("rm_rogues_from_alignment", ("-q",), "switch", False),
     ("rogue_file", (), "text", ""),
+    ("alignment_file", (), "text", ""),
     ("b0", ("-b0",), "whole", 0),
     ("b1", ("-b1",), "whole", 0),
     ("b2", ("-b2",), "whole", 0),

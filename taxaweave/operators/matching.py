@@ -214,3 +214,42 @@ def _by_auction(edges: DataFrame) -> DataFrame:
     return edges.select("src", "dst").join(
         pairs, (F.col("src").cast("string") == F.col("_s")) & (F.col("dst").cast("string") == F.col("_d"))
     )
+
+
+def dual_prices(
+    edges: DataFrame, flows: DataFrame, capacities: tuple[DataFrame, DataFrame] | None = None, rounds: int = 10_000,
+) -> tuple[DataFrame, DataFrame]:
+    """Prices ((src, n, price), (dst, n, price)) that prove a matching to be of greatest weight.
+
+    ``flows`` are the units of :func:`max_weight_matching`. No price is below zero, the prices at the ends of an edge are together no less than
+    its weight, and the prices of all units add up to the weight that is matched, so that nothing can match more.
+    They are the longest ways through what the matching leaves open, found by joins and maxima in rounds; a
+    matching that can be bettered has no end of them and is refused.
+    """
+    plain = edges.where("weight > 0").groupBy("src", "dst").agg(F.max("weight").cast("double").alias("weight"))
+    whole = cut_lineage(_whole(plain).join(flows.select("src", "dst", "units"), ["src", "dst"], "left").withColumn("units", F.coalesce("units", F.lit(0))))
+    unit = plain.join(whole.select("src", "dst", F.col("weight").alias("w")), ["src", "dst"]).agg(F.max(F.col("w") / F.col("weight"))).first()[0] or 1.0
+
+    def side(name, given):
+        used = whole.groupBy(name).agg(F.sum("units").alias("used"))
+        sized = used.withColumn("n", F.lit(1).cast("long")) if given is None else used.join(given, name)
+        return sized.select(name, F.col("n").cast("long").alias("n"), "used")
+
+    left = side("src", capacities and capacities[0]).withColumn("p", F.when(F.col("used") < F.col("n"), F.lit(0).cast("long")))
+    right = side("dst", capacities and capacities[1]).withColumn("q", F.when(F.col("used") > 0, F.lit(0).cast("long")))
+    left, right = cut_lineage(left), cut_lineage(right)
+    for _ in range(rounds):
+        ahead = whole.join(left.where("p IS NOT NULL").select("src", "p"), "src").groupBy("dst").agg(F.max(F.col("p") + F.col("weight")).alias("_q"))
+        after = cut_lineage(right.join(ahead, "dst", "left").withColumn("q", F.greatest("q", "_q")).drop("_q"))
+        back = whole.where("units > 0").join(after.where("q IS NOT NULL").select("dst", "q"), "dst").groupBy("src").agg(F.max(F.col("q") - F.col("weight")).alias("_p"))
+        before = cut_lineage(left.join(back, "src", "left").withColumn("p", F.greatest("p", "_p")).drop("_p"))
+        if not before.where("used < n AND p > 0").isEmpty() or not after.where("used < n AND q > 0").isEmpty():
+            raise ValueError("the matching is not of greatest weight")
+        same = before.join(left.select("src", F.col("p").alias("_p")), "src").where("NOT p <=> _p").isEmpty()
+        left, right = before, after
+        if same:
+            break
+    return (
+        left.select("src", "n", (-F.col("p") / unit).alias("price")),
+        right.select("dst", "n", (F.greatest(F.coalesce("q", F.lit(0)), F.lit(0)) / unit).alias("price")),
+    )

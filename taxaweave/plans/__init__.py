@@ -1,6 +1,7 @@
 from taxaweave.plans import (  # noqa: F401
     alignment,
     guided,
+    invariants,
     linking,
     matrix,
     outliers,

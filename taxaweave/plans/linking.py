@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from taxaweave.operators import clusters, linking, matching
 from taxaweave.plans.registry import query, table
+from taxaweave.session import cut_lineage
 
 SEQUENCES = """
 o AS (SELECT 'p' || substring(o_orderpriority, 1, 1) AS gene, o_orderkey AS accno, o_custkey AS individual,
@@ -131,20 +132,47 @@ for _kind in "oeh":
 _edge_query("a", ["o_orderstatus"])
 
 
-@query()
-def max_matching(spark, d):
-    # Customers and order dates over all orders, linked by status and by priority.
+def _order_classes(spark, d):
+    """(edges, sizes of both sides) between classes of customers and of order dates, over all orders, linked by status and by priority."""
     orders, columns, kinds = table(spark, d, "orders"), ["o_orderstatus", "o_orderpriority"], ["h", "h"]
     left = orders.select(F.col("o_custkey").alias("unit"), *columns)
     right = orders.select(F.datediff("o_orderdate", F.lit("1970-01-01")).cast("long").alias("unit"), *columns)
     values1, units1 = linking.profile_classes(left, "unit", columns, kinds)
     values2, units2 = linking.profile_classes(right, "unit", columns, kinds)
     edges = linking.edge_scores(values1, values2, kinds, [2, 2])
-    sizes = (
+    return edges, (
         units1.groupBy(F.col("class").alias("src")).agg(F.count(F.lit(1)).alias("n")),
         units2.groupBy(F.col("class").alias("dst")).agg(F.count(F.lit(1)).alias("n")),
     )
-    return matching.max_weight_matching(edges, sizes)
+
+
+@query()
+def max_matching(spark, d):
+    return matching.max_weight_matching(*_order_classes(spark, d))
+
+
+@query("""
+SELECT count(DISTINCT o_custkey)::BIGINT AS customers, count(DISTINCT o_orderdate::DATE)::BIGINT AS dates,
+  true AS within, true AS covered, true AS greatest FROM orders
+""")
+def matching_certificate(spark, d):
+    """The matching of all orders keeps to the sizes of its classes, and prices prove that none has more weight."""
+    edges, sizes = _order_classes(spark, d)
+    edges, sizes = cut_lineage(edges), tuple(cut_lineage(s) for s in sizes)
+    flows = cut_lineage(matching.max_weight_matching(edges, sizes))
+    left, right = (cut_lineage(p) for p in matching.dual_prices(edges, flows, sizes))
+    used = flows.groupBy("src").agg(F.sum("units").alias("k")).join(sizes[0], "src").select((F.col("k") <= F.col("n")).alias("ok")).unionByName(
+        flows.groupBy("dst").agg(F.sum("units").alias("k")).join(sizes[1], "dst").select((F.col("k") <= F.col("n")).alias("ok")))
+    sums = edges.join(left.select("src", F.col("price").alias("u")), "src").join(right.select("dst", F.col("price").alias("v")), "dst").agg(
+        F.coalesce(F.min(F.col("u") + F.col("v") - F.col("weight")) >= -1e-6, F.lit(True)).alias("covered"))
+    priced = left.select((F.col("n") * F.col("price")).alias("x")).unionByName(right.select((F.col("n") * F.col("price")).alias("x"))).agg(F.sum("x").alias("priced"))
+    weighed = flows.join(edges, ["src", "dst"]).agg(F.sum(F.col("units") * F.col("weight")).alias("weighed"))
+    count = lambda df, name: df.agg(F.sum("n").cast("long").alias(name))
+    # One row each on the broadcast side.
+    out = count(sizes[0], "customers")
+    for one in (count(sizes[1], "dates"), used.agg(F.coalesce(F.bool_and("ok"), F.lit(True)).alias("within")), sums, priced, weighed):
+        out = out.crossJoin(F.broadcast(one))
+    return out.select("customers", "dates", "within", "covered", (F.abs(F.col("priced") - F.col("weighed")) < 1e-6).alias("greatest"))
 
 
 @query()

@@ -6,11 +6,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from taxaweave.operators import clean, export
+from taxaweave.operators import clean, export, genes, profile_scan
 from taxaweave.plans.alignment import BASES, HEX
 from taxaweave.plans.registry import query, table
-from taxaweave.session import shared_folder
+from taxaweave.session import cut_lineage, shared_folder
 from taxaweave.sources import genbank, text
+from taxaweave.sources.profiles import read_profiles
 
 # Fixed value: bases up to which the written records are loaded.
 LONGEST = 2_000
@@ -119,3 +120,70 @@ def odd_lineage_lines(spark, d):
     path = _folder(spark, "records")
     table(spark, d, "documents").select(record).write.text(path)
     return genbank.odd_lineage_lines(genbank.entries(spark, path))
+
+
+# The ends of the region that is planted, as the profiles know them.
+HEAD, TAIL = "ACGTTGCATTGACCGTAAGCTTCGGATCCATGACTTGCAA", "TTGGCACGATCCGTATAGGCTAACCTGAGTCAATGC"
+
+
+def profile_file(spark):
+    """Path of a profile file with both ends."""
+    def profile(name, consensus):
+        lines = ["HMMER3/f", f"NAME  {name}", f"LENG  {len(consensus)}", "ALPH  DNA", "STATS LOCAL VITERBI -8.0 0.71",
+                 "HMM          A        C        G        T   ", "            m->m     m->i     m->d     i->m     i->i     d->m     d->d",
+                 "  COMPO   1.38 1.38 1.38 1.38", "   1.38 1.38 1.38 1.38", "   0.006 5.7 5.7 1.46 0.26 0.0 *"]
+        for i, base in enumerate(consensus, 1):
+            last = i == len(consensus)
+            lines += [f"  {i} " + " ".join("0.03" if base == b else "4.6" for b in "ACGT") + f" {i} {base} - - -", "   1.38 1.38 1.38 1.38",
+                      "   0.003 6.0 * 1.46 0.26 0.0 *" if last else "   0.006 5.7 5.7 1.46 0.26 1.09 0.40"]
+        return "\n".join(lines) + "\n//"
+
+    path = _folder(spark, "profiles")
+    spark.range(1).select(F.lit(profile("its_start_1", HEAD) + "\n" + profile("its_end_1", TAIL))).coalesce(1).write.text(path)
+    return path
+
+
+def planted_records(spark, d):
+    """(accno, sequence): digests of the documents spelled in bases, with a region in some, turned round in every fourth."""
+    number = F.col("doc_id")
+    digest = lambda mark: F.translate(F.md5(F.concat(F.coalesce("text", F.lit("")), F.lit(mark))), HEX, BASES)
+    head = F.when(number % 3 == 0, F.lit(HEAD)).otherwise("")
+    tail = F.when(number % 3 != 1, F.lit(TAIL)).otherwise("")
+    forward = F.concat(digest("a"), head, digest("b"), tail, digest("c"), F.when(number % 2 == 0, digest("d")).otherwise(""))
+    turned = F.reverse(F.translate(forward, "ACGT", "TGCA"))
+    return table(spark, d, "documents").select(
+        F.concat(F.lit("D"), number.cast("string")).alias("accno"), F.when(number % 4 == 0, turned).otherwise(forward).alias("sequence"))
+
+
+_DIGEST = "translate(md5(coalesce(text, '') || '{}'), '" + HEX + "', '" + BASES + "')"
+_PLANTED = f"""
+s AS (SELECT doc_id, {_DIGEST.format('a')} || CASE WHEN doc_id % 3 = 0 THEN '{HEAD}' ELSE '' END || {_DIGEST.format('b')}
+    || CASE WHEN doc_id % 3 <> 1 THEN '{TAIL}' ELSE '' END || {_DIGEST.format('c')} || CASE WHEN doc_id % 2 = 0 THEN {_DIGEST.format('d')} ELSE '' END AS forward
+  FROM documents)"""
+
+
+@query(f"""
+WITH {_PLANTED},
+h AS (SELECT doc_id, 'its_start_1' AS model, 33 AS hit_start, {32 + len(HEAD)} AS hit_end FROM s WHERE doc_id % 3 = 0 UNION ALL
+  SELECT doc_id, 'its_end_1', CASE WHEN doc_id % 3 = 0 THEN {65 + len(HEAD)} ELSE 65 END,
+    CASE WHEN doc_id % 3 = 0 THEN {64 + len(HEAD) + len(TAIL)} ELSE {64 + len(TAIL)} END FROM s WHERE doc_id % 3 <> 1)
+SELECT 'D' || doc_id AS accno, model, CAST(hit_start AS INTEGER) AS hit_start, CAST(hit_end AS INTEGER) AS hit_end, doc_id % 4 = 0 AS reverse FROM h
+""")
+def profile_hits(spark, d):
+    """Planted ends of a region found by the profile scan, on either strand."""
+    profiles = read_profiles(spark, profile_file(spark))
+    return profile_scan.scan(planted_records(spark, d), profiles, 1e-7).select(
+        "accno", "model", F.col("hit_start").cast("int").alias("hit_start"), F.col("hit_end").cast("int").alias("hit_end"), "reverse")
+
+
+@query(f"""
+WITH {_PLANTED}
+SELECT 'its' AS gene, 'D' || doc_id AS accno, CASE WHEN doc_id % 3 = 0 THEN substr(forward, 33, {32 + len(HEAD) + len(TAIL)})
+  ELSE substr(forward, 1, {64 + len(TAIL)}) END AS sequence FROM s WHERE doc_id % 3 <> 1
+""")
+def gene_slices(spark, d):
+    """The planted regions cut out of their records, as the gene parser does it."""
+    records = planted_records(spark, d)
+    hits = cut_lineage(profile_scan.scan(records, read_profiles(spark, profile_file(spark)), 1e-7))
+    turned = profile_scan.turn_records(records, hits)
+    return genes.slices(genes.intervals(genes.resolve_hits(genes.name_parts(hits))), turned)

@@ -19,13 +19,14 @@ from taxaweave.config import Settings
 from taxaweave.functions import quality_score
 from taxaweave.functions.columns import cut_off_for, cut_offs
 from taxaweave.operators import (
-    align, blocks, clean, clusters, genes, guided, individuals, linking, matrix, naming, outliers,
+    align, blocks, clean, clusters, genes, guided, individuals, linkage, linking, matrix, naming, outliers,
     profile_scan, similarity, taxonomy, tree_scores, treeparts, trees,
 )
 from taxaweave.operators import rogues as rogue_search
 from taxaweave.operators.components import stars
 from taxaweave.session import cut_lineage
 from taxaweave.sinks import text as sink
+from taxaweave.sinks.single import join_parts
 from taxaweave.sources import genbank, text
 from taxaweave.sources.profiles import read_profiles
 
@@ -334,8 +335,23 @@ def _align_cells(cells):
     return align.merge_by_lineage(grouped, ["gene"], "grp", "ranks", "taxon").drop("grp", "ranks")
 
 
-def _gene_trees(cells):
-    return trees.build_trees(cells.select(F.col("gene").alias("tree"), "taxon", "sequence"))
+# Fixed value: what the name of a tree method may begin with. The last two choose what refinement makes small.
+TREE_METHODS = ("distance", "linkage", "likelihood", "parsimony")
+
+
+def _build(method, rows):
+    """Trees of ``rows`` (tree, taxon, sequence): neighbour joining, or with ``linkage_<similarity>`` along the spanning forest."""
+    name, _, rest = method.partition("_")
+    if name not in TREE_METHODS:
+        warnings.warn(f"tree method {name} is not known; distance trees are built", stacklevel=2)
+    if name != "linkage":
+        return trees.build_trees(rows)
+    number = re.match(r"0?\.[0-9]+", rest)
+    return linkage.similarity_trees(rows, float(number.group()) if number else 0.8)
+
+
+def _gene_trees(cells, s):
+    return _build(s.phylo_method, cells.select(F.col("gene").alias("tree"), "taxon", "sequence"))
 
 
 def _drop_outliers(cells, nodes):
@@ -415,18 +431,18 @@ def _scaled(now, guides, nodes):
 def align_sequences(db, s):
     cells = _align_guided(db, s, cut_lineage(_group_cells(db)))
     if s.create_gene_trees:
-        nodes = cut_lineage(_gene_trees(cells))
+        nodes = cut_lineage(_gene_trees(cells, s))
         if s.remove_outliers:
             cells = _drop_outliers(cells, nodes)
             left = cells.select(F.col("gene").alias("tree"), F.col("taxon").alias("label"))
             drop = trees.tips(nodes).join(left, ["tree", "label"], "left_anti")
             if not drop.isEmpty():
-                nodes = cut_lineage(_gene_trees(cells))
+                nodes = cut_lineage(_gene_trees(cells, s))
         support = None
         count = _replicates(s.phylo_method)
         if count:
             rows = cut_lineage(cells.select(F.col("gene").alias("tree"), "taxon", "sequence"))
-            replicates = cut_lineage(trees.build_trees(trees.resample(rows, count)))
+            replicates = cut_lineage(_build(s.phylo_method, trees.resample(rows, count)))
             if s.store_boot_trees:
                 db.replace("gene_boot_trees", trees.to_newick(replicates))
             # A gene's name may hold the mark that divides it from the number of the replicate.
@@ -533,10 +549,10 @@ def concatenated_tree(db, s):
         anchors = cells.where(F.col("gene").isin(*s.anchor_gene)).groupBy("taxon").agg(F.countDistinct("gene").alias("k"))
         cells = cells.join(anchors.where(F.col("k") == len(s.anchor_gene)).select("taxon"), "taxon", "left_semi")
     rows = cut_lineage(_combined(cells, enough))
-    nodes = cut_lineage(trees.build_trees(rows))
+    nodes = cut_lineage(_build(s.concat_phylo_method, rows))
     count = _replicates(s.concat_phylo_method)
     if count:
-        replicates = cut_lineage(trees.build_trees(trees.resample(rows, count)))
+        replicates = cut_lineage(_build(s.concat_phylo_method, trees.resample(rows, count)))
         if s.store_boot_trees:
             db.replace("boot_trees", trees.to_newick(replicates))
         nodes = cut_lineage(trees.support(nodes, replicates))
@@ -576,6 +592,39 @@ def exclude_rogues(db, s):
         db.replace("alignments", kept)
 
 
+def load_alignment(db, s):
+    """Take the aligned sequences of one gene from a FASTA file, ``gene,path``; names are taxa or records. Rows of gaps only go."""
+    gene, _, path = s.alignment_file.partition(",")
+    if not path:
+        raise ValueError("load_alignment needs alignment_file, as gene,path")
+    kept, dropped = text.split_aligned(text.read_fasta(db.spark, path))
+    cells = db.read("alignments")
+    own = cells.where(F.col("gene") == gene).drop("sequence")
+    # A taxon's name counts before a record's.
+    by_taxon = own.join(kept.withColumnRenamed("name", "taxon"), "taxon")
+    by_record = own.join(by_taxon.select("taxon"), "taxon", "left_anti").join(kept.withColumnRenamed("name", "accno"), "accno")
+    loaded = cut_lineage(by_taxon.select("taxon", "gene", "accno", "sequence").unionByName(by_record.select("taxon", "gene", "accno", "sequence")))
+    widths = loaded.select(F.length("sequence").alias("n")).distinct().limit(2).count()
+    if widths > 1:
+        raise ValueError(f"the sequences of {gene} in {path} differ in length")
+    gone = dropped.withColumnRenamed("name", "accno")
+    rest = matrix.without(cells.where(F.col("gene") == gene).join(loaded.select("taxon"), "taxon", "left_anti"), gone, "accno")
+    names = loaded.select(F.col("taxon").alias("name")).union(loaded.select("accno"))
+    strange = kept.select("name").join(names, "name", "left_anti").count()
+    if strange:
+        warnings.warn(f"{strange} sequences of {path} belong to no taxon or record of {gene}", stacklevel=2)
+    db.replace("alignments", cells.where(F.col("gene") != gene).unionByName(loaded).unionByName(rest.select(*loaded.columns)))
+
+
+def load_tree(db, s):
+    """Store the tree of a Newick file (``tree_file``) for the genes in ``use_genes`` and the taxon in ``get_taxon``."""
+    stored = db.spark.read.text(s.tree_file, wholetext=True).select(F.lit("tree").alias("tree"), F.col("value").alias("newick"))
+    nodes = cut_lineage(trees.parse_newick(stored))
+    if nodes.isEmpty():
+        raise ValueError(f"no tree in {s.tree_file}")
+    _store_trees(db, nodes, s.get_taxon, "file", ",".join(s.use_genes) if s.use_genes[0] != "all" else "combined")
+
+
 def get_distinct_entries(db, s):
     for column in s.column_name:
         sink.write_table(clean.distinct_values(db.read("gb_data"), column).orderBy(column), f"{s.out_file_name}_{column}")
@@ -600,10 +649,14 @@ def get_alignments(db, s):
         anchors = cells.where(F.col("gene").isin(*s.anchor_gene)).groupBy("taxon").agg(F.countDistinct("gene").alias("k"))
         cells = cells.join(anchors.where(F.col("k") == len(s.anchor_gene)).select("taxon"), "taxon", "left_semi")
     row = "genes" if s.bases_per_row.startswith("gene") else s.bases_per_row
+    path = f"{s.out_file_name}.alignment"
     sink.write_alignment(
-        cells, wanted, f"{s.out_file_name}.alignment", partitions=s.partition_file, form=s.alignment_format,
-        interleave=row if s.interleaved else None,
+        cells, wanted, path, partitions=s.partition_file, form=s.alignment_format, interleave=row if s.interleaved else None,
     )
+    # The same as single documents.
+    join_parts(db.spark, path, f"{path}.{s.alignment_format}")
+    if s.partition_file and s.alignment_format != "nexus":
+        join_parts(db.spark, f"{path}.partitions", f"{path}.partitions.txt")
 
 
 def get_trees(db, s):
@@ -690,6 +743,8 @@ MODULES = {
     "gblocks": (gblocks, "gblocks"),
     "concatenated_tree": (concatenated_tree, "tree"),
     "exclude_rogues": (exclude_rogues, "no_rogues"),
+    "load_alignment": (load_alignment, "loaded"),
+    "load_tree": (load_tree, "tree_loaded"),
     "get_distinct_entries": (get_distinct_entries, None),
     "get_shared_values": (get_shared_values, None),
     "get_alignments": (get_alignments, None),
@@ -706,12 +761,13 @@ NEEDS = {
     "link_genes": ("gene_sequences",), "multimotu": ("gene_sequences",), "latin_names": ("alignments",),
     "align_sequences": ("alignments", "alignment_groups"), "refine_alignments": ("alignments",),
     "gblocks": ("alignments",), "concatenated_tree": ("alignments",), "exclude_rogues": ("trees",),
+    "load_alignment": ("alignments",), "load_tree": (),
     "get_alignments": ("alignments",), "get_trees": ("trees",), "get_otu_taxonomy": ("alignments",),
 }
 MAKES = {
     "gb_parser": ("gb_data",), "gene_parser": ("gene_sequences",), "alignment_groups": ("alignment_groups",),
     "link_genes": ("alignments",), "multimotu": ("alignments",), "latin_names": ("taxon_names",),
-    "align_sequences": ("trees",), "refine_alignments": ("trees",), "concatenated_tree": ("trees",),
+    "load_tree": ("trees",), "align_sequences": ("trees",), "refine_alignments": ("trees",), "concatenated_tree": ("trees",),
 }
 
 

@@ -137,6 +137,16 @@ def profile_text(name, consensus):
     return "\n".join(lines) + "\n//\n"
 
 
+def test_matches_together_are_those_alone():
+    from taxaweave.operators.profile_scan import _Packed, best_matches
+
+    rng = random.Random(4)
+    ends = ["".join(rng.choice("ACGT") for _ in range(n)) for n in (12, 30)]
+    packed = _Packed(parse_profiles("".join(profile_text(f"g_start_{k}", e) for k, e in enumerate(ends))))
+    rows = ["".join(rng.choice("ACGTN") for _ in range(rng.randint(1, 60))) + rng.choice(["", *ends]) for _ in range(30)]
+    assert best_matches(rows, packed) == [best_matches([r], packed)[0] for r in rows]
+
+
 def test_profile_scan(spark):
     rng = random.Random(9)
 

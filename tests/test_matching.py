@@ -131,3 +131,25 @@ def test_matching_query_reads_every_priority(spark, tmp_path):
     ).write.parquet(f"{tmp_path}/orders.parquet")
     found = {tuple(r[:2]) for r in QUERIES["max_matching"](spark, str(tmp_path)).select("src", "dst").collect()}
     assert found == {(7, 9131), (8, 9132)}
+
+
+@pytest.mark.parametrize("bound", [20_000, 0])
+def test_prices_prove_the_matching(spark, bound):
+    from taxaweave.operators.matching import dual_prices
+
+    rng, most = random.Random(11), 3 if bound else 1
+    edges = [(f"t{i}", f"c{j}", rng.choice([0.5, 1.0, 1.5, 2.5, 4.0])) for i in range(6) for j in range(5) if rng.random() < (0.6 if bound else 0.15)]
+    df = spark.createDataFrame(edges, "src string, dst string, weight double")
+    sizes = (
+        spark.createDataFrame([(f"t{i}", rng.randrange(1, most + 1)) for i in range(6)], "src string, n long"),
+        spark.createDataFrame([(f"c{j}", rng.randrange(1, most + 1)) for j in range(5)], "dst string, n long"),
+    )
+    flows = max_weight_matching(df, sizes, edges_per_task=bound)
+    left, right = ({r[0]: (r["n"], r["price"]) for r in side.collect()} for side in dual_prices(df, flows, sizes))
+    assert all(p >= 0 for _, p in [*left.values(), *right.values()])
+    assert all(left[s][1] + right[d][1] >= w - 1e-9 for s, d, w in edges)
+    weights = {(s, d): w for s, d, w in edges}
+    total = sum(weights[r["src"], r["dst"]] * r["units"] for r in flows.collect())
+    assert sum(n * p for n, p in [*left.values(), *right.values()]) == pytest.approx(total)
+    with pytest.raises(ValueError, match="greatest weight"):
+        dual_prices(df, spark.createDataFrame([], "src string, dst string, units long"), sizes)

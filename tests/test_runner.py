@@ -177,3 +177,31 @@ def test_groups_that_need_a_guide(spark, project):
     assert all(r.sequence.replace("-", "").upper() == raw[r.gene, r.accno].upper() for r in cells.collect())
     methods = {(r.taxon, r.gene.split("|")[0]) for r in spark.table("proj.trees").collect()}
     assert ("combined", "lsu") in methods
+
+
+def test_loaded_alignment_and_tree(spark, project):
+    """A FASTA file and a Newick file take the place of what the tables hold; documents are single files."""
+    cells = spark.table("proj.alignments").where("gene = 'its'").orderBy("taxon").collect()
+    width = len(cells[0].sequence)
+    lines = [f">{r.taxon if k % 2 else r.accno}\n{r.sequence.lower()}A" for k, r in enumerate(cells[:-1])]
+    (project / "its.fst").write_text("\n".join([*lines, f">{cells[-1].accno}\n{'-' * (width + 1)}", ">nobody\n" + "A" * (width + 1)]) + "\n")
+    with warnings.catch_warnings(record=True) as caught:
+        warnings.simplefilter("always")
+        run(spark, project, "load_alignment", "--alignment_file", f"its,{project}/its.fst")
+    assert any("1 sequences" in str(w.message) for w in caught)
+    found = {r.taxon: r.sequence for r in spark.table("proj.alignments").where("gene = 'its'").collect()}
+    assert found == {r.taxon: r.sequence.lower() + "A" for r in cells[:-1]}
+    (project / "t.tree").write_text("((Taxon_1:1,Taxon_2:1):1,Taxon_3:2);\n")
+    run(spark, project, "load_tree", "-R", str(project / "t.tree"), "-u", "its", "-t", "mine")
+    stored = {(r.gene, r.taxon): (r.tree, r.tree_method) for r in spark.table("proj.trees").collect()}
+    assert stored["its", "mine"] == ("((Taxon_1:1,Taxon_2:1):1,Taxon_3:2);", "file")
+    run(spark, project, "get_alignments", "-a", "phylip")
+    text = (project / "out.alignment.phylip").read_text().splitlines()
+    count, length = map(int, text[0].split())
+    assert len(text) == count + 1 and all(len(x.split()[1]) == length for x in text[1:])
+    parts = (project / "out.alignment.partitions.txt").read_text().splitlines()
+    assert len(parts) == 2 and parts[-1].endswith(f"-{length}")
+    run(spark, project, "get_alignments", "-a", "nexus")
+    nexus = (project / "out.alignment.nexus").read_text()
+    assert nexus.startswith("#NEXUS") and nexus.count("END;") == 2 and f"NTAX={count}" in nexus
+    assert not [p for p in project.iterdir() if p.name.startswith("out.alignment.phylip.")]
