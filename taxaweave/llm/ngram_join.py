@@ -33,13 +33,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from taxaweave.llm.scan import Chunk, chunks, counts_by_row, mix, span_hashes, windows
-from taxaweave.llm.steps import discard, written
+from taxaweave.llm.steps import clean_up, discard, written
 from taxaweave.operators.components import connected_components
 
 GROWTH = 1.2
 LARGEST = 1 << 40
-#: Bits of the sieve of candidate ids, whatever their number.
-SIEVE = 1 << 22
 TILE = 1024
 LEAST_BITS, MOST_BITS, BITS_PER_SHINGLE = 256, 1 << 15, 8
 #: Closest pairs of a node with other components that are tried at first, and how many times more in each further round.
@@ -181,15 +179,11 @@ def _key_scan(width: int, percent: int):
     return scan
 
 
-def _sieved_sets(width: int, sieve):
-    """Sorted arrays of the documents whose id passes the sieve, each node once a task."""
+def _set_scan(width: int):
+    """Sorted arrays and bitmaps of the documents, each node once a task."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(sieve.value, np.uint64)
         seen: set[int] = set()
         for batch in batches:
-            place = batch.column("place").to_numpy()
-            passed = (bits[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) > 0
-            batch = batch.filter(pa.array(passed))
             for chunk in chunks(batch.column("text")):
                 rows, hashes, sizes = shingle_sets(chunk, width)
                 node, ends = _set_ids(rows, hashes, sizes), np.concatenate([[0], np.cumsum(sizes)])
@@ -370,24 +364,10 @@ def _sent(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= SENT else ids
 
 
-def _sieve(ids: DataFrame):
-    """A bitmap of fixed size that every candidate id passes; at most SIEVE / 64 numbers reach the driver."""
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE))
-    found = (
-        ids.select(place.alias("place")).select(
-            F.shiftright("place", 6).cast("int").alias("word"), F.expr("shiftleft(1L, cast(place & 63 as int))").alias("bit")
-        ).groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    ).toPandas()
-    bits = np.zeros(SIEVE // 64, np.int64)
-    bits[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
-    return ids.sparkSession.sparkContext.broadcast(bits.tobytes()), place
-
-
 def linked(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """((doc_id, n_shingles, node) of every document, (node, component) of every node that shares a key)."""
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = written(ids.mapInArrow(_node_scan(width), "doc_id long, n_shingles long, node long"))
-    nodes = rows.where("n_shingles > 0")
     # A key that only one node has, however many copies of it there are, finds nothing.
     by_key = Window.partitionBy("key")
     shared = written(
@@ -395,13 +375,9 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFram
         .withColumn("low", F.min("node").over(by_key)).withColumn("high", F.max("node").over(by_key))
         .where("low <> high").select("node", "key").distinct()
     )
-    known = shared.select("node").distinct()
-    sieve, place = _sieve(nodes.select("doc_id", "node").join(known, "node", "left_semi"))
-    sets = written(
-        ids.withColumn("place", place).select("text", "place")
-        .mapInArrow(_sieved_sets(width, sieve), "node long, size long, hashes binary, bits binary")
-        .join(known, "node", "left_semi").dropDuplicates(["node"])
-    )
+    clean_up(docs.sparkSession)
+    known = written(shared.select("node").distinct())
+    sets = written(_sets(ids, rows, known, width))
     parts, tested = written(known.withColumn("component", F.col("node"))), None
     while True:
         labelled = written(shared.join(parts, "node"))
@@ -432,6 +408,19 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFram
     return rows, parts
 
 
+def _sets(ids: DataFrame, rows: DataFrame, known: DataFrame, width: int) -> DataFrame:
+    """(node, size, hashes, bits) of every known node, from the document with the smallest id that has it (or without id)."""
+    named = rows.join(known, "node", "left_semi")
+    first = written(named.groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").where("doc_id is not null").distinct())
+    # Texts without id all go along; of others only those whose sets are wanted.
+    wanted = ids.where("doc_id is not null").join(_sent(first), "doc_id", "left_semi").unionByName(ids.where("doc_id is null"))
+    found = wanted.select("text").mapInArrow(_set_scan(width), "node long, size long, hashes binary, bits binary")
+    if rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return found
+    # An id that stands on several rows may bring a node more than once, or nodes that are not wanted.
+    return found.join(known, "node", "left_semi").dropDuplicates(["node"])
+
+
 def _merged(parts: DataFrame, now: DataFrame) -> DataFrame:
     """``parts`` after the links among ``now``: only components that a new link joins change."""
     ends = now.where("links").join(parts.select(F.col("node").alias("a"), F.col("component").alias("u")), "a").join(
