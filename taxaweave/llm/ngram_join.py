@@ -26,6 +26,7 @@ sets; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,8 @@ FIRST, MORE = 2, 64
 FIRST_KEYS = 4
 #: Rows of ids that are sent to all tasks at most (8 MB); larger tables are joined by a shuffle.
 SENT = 1_000_000
+#: Pairs beyond this number are intersected in so many slices, one after another.
+SLICED, SLICES = 10_000, 4
 #: Hub rounds go on while this share of their pairs link.
 WORTH = 0.05
 
@@ -349,13 +352,21 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 ok.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(ok, pa.bool_())], names=["a", "b", "links"])
 
-    # Each side takes the arrays of its own pairs; only these meet.
+    # Each side takes the arrays of its own pairs; only these meet. Many pairs go in a few slices, so that the arrays of one
+    # slice are on disk at a time.
     table = written(pairs)
-    pairs = _sent(table)
-    left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")).join(pairs, "a")
-    right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")).join(pairs, "b")
-    found = written(left.join(right, ["a", "b"]).select("a", "b", "x", "y").mapInArrow(check, "a long, b long, links boolean"))
-    discard(table)
+    n = table.count()
+    slices, parts = SLICES if n > SLICED else 1, []
+    for k in range(slices):
+        some = table.where(F.pmod(F.xxhash64("a", "b"), F.lit(slices)) == k)
+        some = F.broadcast(some) if n <= SENT else some
+        left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")).join(some, "a")
+        right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")).join(some, "b")
+        parts.append(written(left.join(right, ["a", "b"]).select("a", "b", "x", "y").mapInArrow(check, "a long, b long, links boolean")))
+        clean_up(pairs.sparkSession)
+    found = parts[0] if slices == 1 else written(reduce(DataFrame.unionByName, parts))
+    for part in [table, *(parts if slices > 1 else [])]:
+        discard(part)
     return found
 
 
@@ -377,7 +388,9 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFram
     )
     clean_up(docs.sparkSession)
     known = written(shared.select("node").distinct())
+    clean_up(docs.sparkSession)
     sets = written(_sets(ids, rows, known, width))
+    clean_up(docs.sparkSession)
     parts, tested = written(known.withColumn("component", F.col("node"))), None
     while True:
         labelled = written(shared.join(parts, "node"))
