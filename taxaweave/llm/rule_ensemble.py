@@ -7,7 +7,7 @@ Spark on all labelled rows.
 
 Nulls and odd rows: a null text has the statistics of an empty one, and a score; rows with a
 null label do not teach; labels of one kind only (or none) give that kind's share (or 0.5) as
-every score; repeated rows teach each; an empty table gives an empty result.
+every score, and so do statistics that are the same in all rows; repeated rows teach each; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -79,6 +79,9 @@ def fit(
         numTrees=trees, maxDepth=depth, seed=seed, featuresCol="features", labelCol="label", featureSubsetStrategy="onethird"
     ).fit(VectorAssembler(inputCols=list(names), outputCol="features").transform(rows))
     rules = sorted({rule for tree in forest.trees for rule in paths(tree._call_java("rootNode"), names)})
+    if not rules:  # statistics that tell nothing apart
+        share = kinds.get(1.0, 0) / sum(kinds.values())
+        return Ensemble(math.log((share + 1e-6) / (1 - share + 1e-6)), {})
     table = rows.select(
         "label", array_to_vector(F.array(*[condition(rule).cast("double") for rule in rules])).alias("features")
     )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,13 +34,6 @@ def discard(df: DataFrame) -> None:
     for spark, path in [w for w in _written if w[1].rsplit("/", 1)[-1] in names]:
         _delete(spark, path)
         _written.remove((spark, path))
-    clean_up(df.sparkSession)
-
-
-def clean_up(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished jobs now: its cleaner does so once the driver has collected what refers to them."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
 
 
 def _delete(spark: SparkSession, path: str) -> None:
