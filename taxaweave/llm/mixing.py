@@ -10,7 +10,7 @@ misfits so far only, so every task replays them from the misfits, and a round mo
 Tokens are words. The classifier is a softmax over statistics of the form and over the words that tell the
 domains apart best; it is fitted on at most ``SAMPLE`` labelled rows.
 
-Nulls and odd rows: a null text has no tokens, and a posterior as an empty one; labels that are null do not teach;
+Nulls and odd rows: a null text has no tokens, and a posterior as an empty one; without any tokens all rates are 1; labels that are null do not teach;
 labelled rows of fewer than two domains give every document that domain (or the first) with certainty; a domain that no document
 belongs to, or that no labelled row names (its posterior is 0), cannot be reached: its target stays a misfit, while the others reach
 theirs; repeated rows get equal rates; an empty table gives an empty result.
@@ -215,7 +215,7 @@ def rates(members: DataFrame, targets: np.ndarray) -> tuple[DataFrame, list[np.n
         got, gram = totals(moves)
         history.append(got)
         misfit = got - targets
-        if np.abs(misfit).max() < ENOUGH:
+        if np.abs(misfit).max() < ENOUGH or not got.any():  # without tokens nothing can be reached: rates stay at 1
             break
         moves.append(STEP * np.linalg.pinv(gram + 1e-9 * np.eye(k), rcond=1e-6) @ misfit)
 
