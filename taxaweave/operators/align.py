@@ -1,7 +1,7 @@
 """Multiple alignment around a centre sequence, as joins and aggregates.
 
 Every sequence is aligned to the centre of its group on its own (the only
-step that runs in Python, one pair at a time). The pairs are then merged: the
+step that runs in Python, a block of pairs at a time). The pairs are then merged: the
 widest insertion before each centre position, an aggregate over the group,
 fixes the columns, and each row is spelled out by itself. No task ever holds
 a whole group.
@@ -9,6 +9,8 @@ a whole group.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -20,6 +22,8 @@ from taxaweave.session import cut_lineage
 
 # Scores of equal and unequal bases and of a gap position.
 EQUAL, UNEQUAL, GAP = 5, -4, -6
+# Fixed value: cells of the tables that are filled together.
+CELLS = 1 << 20
 
 
 def path_to_centre(centre: str, sequence: str) -> str:
@@ -27,23 +31,53 @@ def path_to_centre(centre: str, sequence: str) -> str:
 
     Both are letters; ``*`` marks a column that is a gap, ``.`` an inserted one.
     """
+    return paths_to_centre(centre, [sequence])[0]
+
+
+def blocks(lengths: list[int], height: int) -> Iterator[list[int]]:
+    """Places of ``lengths``, those of like length together, so that a block of tables of that ``height`` has about ``CELLS`` cells."""
+    order = sorted(range(len(lengths)), key=lengths.__getitem__)
+    start = 0
+    while start < len(order):
+        end = start + 1
+        while end < len(order) and (end + 1 - start) * (height + 1) * (lengths[order[end]] + 1) <= CELLS:
+            end += 1
+        yield order[start:end]
+        start = end
+
+
+def paths_to_centre(centre: str, sequences: list[str]) -> list[str]:
+    """:func:`path_to_centre` of many sequences; the tables of a block are filled together."""
     a = np.frombuffer(centre.encode("ascii", "replace"), dtype=np.uint8)
-    b = np.frombuffer(sequence.encode("ascii", "replace"), dtype=np.uint8)
-    steps = np.arange(len(b) + 1) * GAP
-    row = steps.copy()
-    back = np.zeros((len(a) + 1, len(b) + 1), dtype=np.int8)
-    back[0, :], back[:, 0] = 2, 1
-    for i in range(1, len(a) + 1):
-        diagonal = row[:-1] + np.where(b == a[i - 1], EQUAL, UNEQUAL)
-        above = row[1:] + GAP
-        best = np.empty(len(b) + 1, dtype=np.int64)
-        best[0] = i * GAP
-        best[1:] = np.maximum(diagonal, above)
-        row = np.maximum.accumulate(best - steps) + steps
-        back[i, 1:] = np.where(row[1:] == diagonal, 0, np.where(row[1:] == above, 1, 2))
-    i, j, out = len(a), len(b), []
+    codes = [np.frombuffer(s.encode("ascii", "replace"), dtype=np.uint8) for s in sequences]
+    out = [""] * len(sequences)
+    for block in blocks([len(c) for c in codes], len(a)):
+        width = len(codes[block[-1]])
+        # Cells beyond the end of a shorter sequence are filled too, but no path comes from there.
+        b = np.zeros((len(block), width), dtype=np.uint8)
+        for k, at in enumerate(block):
+            b[k, : len(codes[at])] = codes[at]
+        steps = np.arange(width + 1) * GAP
+        row = np.repeat(steps[None, :], len(block), axis=0)
+        back = np.zeros((len(block), len(a) + 1, width + 1), dtype=np.int8)
+        back[:, 0, :], back[:, :, 0] = 2, 1
+        best = np.empty_like(row)
+        for i in range(1, len(a) + 1):
+            diagonal = row[:, :-1] + np.where(b == a[i - 1], EQUAL, UNEQUAL)
+            above = row[:, 1:] + GAP
+            best[:, 0] = i * GAP
+            np.maximum(diagonal, above, out=best[:, 1:])
+            row = np.maximum.accumulate(best - steps, axis=1) + steps
+            back[:, i, 1:] = np.where(row[:, 1:] == diagonal, 0, np.where(row[:, 1:] == above, 1, 2))
+        for k, at in enumerate(block):
+            out[at] = _walked(back[k].tobytes(), width + 1, len(a), sequences[at])
+    return out
+
+
+def _walked(back: bytes, width: int, i: int, sequence: str) -> str:
+    j, out = len(sequence), []
     while i or j:
-        step = back[i, j] if i and j else (1 if i else 2)
+        step = back[i * width + j] if i and j else (1 if i else 2)
         if step == 0:
             i, j = i - 1, j - 1
             out.append(sequence[j].upper())
@@ -56,9 +90,23 @@ def path_to_centre(centre: str, sequence: str) -> str:
     return "".join(reversed(out))
 
 
+def by_first(first: pd.Series, second: pd.Series, solve) -> pd.Series:
+    """``solve(x, [y, ...])`` for the pairs of two columns: each distinct pair once, all of one x together."""
+    wanted: dict = {}
+    for x, y in zip(first, second, strict=True):
+        wanted.setdefault(x, {})[y] = None
+    found = {x: dict(zip(ys, solve(x, list(ys)), strict=True)) for x, ys in wanted.items()}
+    return pd.Series([found[x][y] for x, y in zip(first, second, strict=True)], dtype=object)
+
+
 @F.pandas_udf(T.StringType())
 def _paths(centre: pd.Series, sequence: pd.Series) -> pd.Series:
-    return pd.Series([path_to_centre(a, b) for a, b in zip(centre, sequence)])
+    return by_first(centre, sequence, paths_to_centre)
+
+
+def dealt(df: DataFrame, *by: Column | str) -> DataFrame:
+    """``df`` over all shuffle partitions: few bytes may be much work, and partitions are merged by their bytes."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
 
 
 @F.pandas_udf(T.StringType())
@@ -109,8 +157,10 @@ def align(cells: DataFrame, keys: list[str], identifier: str = "accno") -> DataF
     centre_rows = cells.join(
         centres.withColumnRenamed("_centre", identifier), [*keys, identifier], "left_semi"
     ).select(*keys, F.col("sequence").alias("_c"))
-    paired = cells.join(centre_rows, keys)
-    return _spread(paired.withColumn("path", _paths("_c", "sequence")).drop("_c", "sequence"), keys).select(*cells.columns)
+    paired = dealt(cells.join(centre_rows, keys), *keys, identifier)
+    # The paths are read twice.
+    paths = cut_lineage(paired.withColumn("path", _paths("_c", "sequence")).drop("_c", "sequence"))
+    return _spread(paths, keys).select(*cells.columns)
 
 
 def merge_groups(aligned: DataFrame, keys: list[str], group: str, identifier: str = "accno") -> DataFrame:
@@ -127,8 +177,9 @@ def merge_groups(aligned: DataFrame, keys: list[str], group: str, identifier: st
     centre = fronts.groupBy(*keys).agg(
         F.min_by(front, F.struct((-F.length("_front")).alias("b"), F.col(group).alias("g"))).alias("_c")
     )
-    moves = fronts.join(centre, keys).select(*keys, group, _paths("_c", front).alias("_path"))
-    moved = aligned.join(moves, [*keys, group]).withColumn("path", _follow("_path", "sequence")).drop("_path", "sequence")
+    moves = dealt(fronts.join(centre, keys), *keys, group).select(*keys, group, _paths("_c", front).alias("_path"))
+    together = dealt(aligned.join(moves, [*keys, group]), *keys, identifier)
+    moved = cut_lineage(together.withColumn("path", _follow("_path", "sequence")).drop("_path", "sequence"))
     return _spread(moved, keys).select(*aligned.columns)
 
 

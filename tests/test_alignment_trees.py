@@ -31,6 +31,43 @@ def test_merge_keeps_group_columns(spark):
     aligned_ok(rows, {"a": "ACGTACGT", "b": "ACTGTACGT", "c": "ACGTACGTTT", "d": "ACGTAGGCGTTT"})
 
 
+def plain_path(centre, sequence):
+    """One pair by the plain table; equal letters first, then a gap in the sequence, then an inserted letter."""
+    best = {}
+    for i in range(len(centre) + 1):
+        for j in range(len(sequence) + 1):
+            ways = [(0, 0)] if not i and not j else []
+            if i and j:
+                ways.append((best[i - 1, j - 1][0] + (align.EQUAL if centre[i - 1] == sequence[j - 1] else align.UNEQUAL), 0))
+            if i:
+                ways.append((best[i - 1, j][0] + align.GAP, -1))
+            if j:
+                ways.append((best[i, j - 1][0] + align.GAP, -2))
+            best[i, j] = max(ways)
+    i, j, out = len(centre), len(sequence), ""
+    while i or j:
+        step = best[i, j][1]
+        i, j = i - (step != -2), j - (step != -1)
+        out = ("-" if step == -1 else sequence[j] if step == 0 else sequence[j].lower()) + out
+    return out
+
+
+def test_paths_in_blocks(monkeypatch):
+    draw = random.Random(8)
+    sequences = ["".join(draw.choices("ACGT", k=draw.randint(0, 12))) for _ in range(60)]
+    for cells in (align.CELLS, 400, 1):
+        monkeypatch.setattr(align, "CELLS", cells)
+        for centre in ["", "ACGTTGCA", "GG"]:
+            assert align.paths_to_centre(centre, sequences) == [plain_path(centre, s) for s in sequences]
+
+
+def test_rows_are_aligned_in_many_tasks(spark):
+    rows = [("g", k, "ACGT" * (1 + k % 3)) for k in range(200)]
+    df = spark.createDataFrame(rows, "gene string, accno int, sequence string").coalesce(1)
+    assert sum(n > 0 for n in align.dealt(df, "accno").rdd.glom().map(len).collect()) > 1
+    assert align.align(df, ["gene"]).rdd.getNumPartitions() > 1
+
+
 TREE = "((a:1,b:2)95:1,(c:1,('d e':1,e:1):2):3,f:4);"
 
 
