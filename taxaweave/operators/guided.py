@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from taxaweave.operators.align import EQUAL, GAP, UNEQUAL, _spread
+from taxaweave.operators.align import EQUAL, GAP, UNEQUAL, _spread, blocks, by_first, dealt
 from taxaweave.operators.outliers import median_deviation
 from taxaweave.operators.ranking import number_rows
 from taxaweave.session import cut_lineage, forget
@@ -306,20 +306,49 @@ def profile_counts(found: DataFrame, keys: list[str]) -> DataFrame:
     return found.select(*keys, "profile").mapInPandas(spell, schema)
 
 
+def letters_along(data: bytes | None, texts: list[str]) -> list[str]:
+    """Each text along a profile as :func:`align_profiles` places it: capitals in the profile's columns, small letters between."""
+    if data is None:
+        return [text.upper() for text in texts]
+    p, codes = _unpacked(data), [letters_of(text) for text in texts]
+    scores, rows = p @ SCORES, int(p[0].sum()) if len(p) else 0
+    out = [""] * len(texts)
+    for block in blocks([len(c) for c in codes], len(p)):
+        width = len(codes[block[-1]])
+        # Cells beyond the end of a shorter text are filled too, but no path comes from there.
+        b = np.full((len(block), width), NONE)
+        for k, at in enumerate(block):
+            b[k, : len(codes[at])] = codes[at]
+        one = np.array([len(codes[at]) > 0 for at in block], np.int64)
+        steps = np.zeros((len(block), width + 1), np.int64)
+        np.cumsum((b != NONE) * rows * GAP, axis=1, out=steps[:, 1:])
+        row = steps.copy()
+        back = np.zeros((len(block), len(p) + 1, width + 1), np.int8)
+        back[:, 0, :], back[:, :, 0] = 2, 1
+        for i in range(1, len(p) + 1):
+            diagonal = row[:, :-1] + scores[i - 1][b]
+            above = row + (one * (rows - int(p[i - 1, NONE])) * GAP)[:, None]
+            best = above.copy()
+            best[:, 1:] = np.maximum(diagonal, above[:, 1:])
+            row = np.maximum.accumulate(best - steps, axis=1) + steps
+            back[:, i, 1:] = np.where(row[:, 1:] == diagonal, 0, np.where(row[:, 1:] == above[:, 1:], 1, 2))
+        for k, at in enumerate(block):
+            out[at] = _placed(back[k].tobytes(), width + 1, len(p), texts[at])
+    return out
+
+
+def _placed(back: bytes, width: int, i: int, text: str) -> str:
+    j, out = len(text), []
+    while i or j:
+        step = back[i * width + j] if i and j else (1 if i else 2)
+        i, j = i - (step != 2), j - (step != 1)
+        out.append("-" if step == 1 else text[j].upper() if step == 0 else text[j].lower())
+    return "".join(reversed(out))
+
+
 @F.pandas_udf(T.StringType())
 def _along_profile(profile: pd.Series, sequence: pd.Series) -> pd.Series:
-    def one(data, text):
-        if data is None:
-            return text.upper()
-        p = _unpacked(data)
-        own, mine = align_profiles(p, profile_of(text))
-        letters, out = iter(text), []
-        for kept, has in zip(own, mine, strict=True):
-            letter = next(letters) if has else "-"
-            out.append(letter.upper() if kept else letter.lower())
-        return "".join(out)
-
-    return pd.Series([one(*pair) for pair in zip(profile, sequence, strict=True)])
+    return by_first(profile, sequence, letters_along)
 
 
 def add_sequences(aligned: DataFrame, extra: DataFrame, keys: list[str]) -> DataFrame:
@@ -329,8 +358,11 @@ def add_sequences(aligned: DataFrame, extra: DataFrame, keys: list[str]) -> Data
     that fit none of them get columns in between. A group that has no rows yet must get one row only.
     """
     known = profiles(aligned, keys)
-    placed = extra.where("sequence IS NOT NULL").join(known, keys, "left").withColumn("path", _along_profile("profile", "sequence"))
-    paths = aligned.withColumn("path", F.upper("sequence")).drop("sequence").unionByName(placed.drop("profile", "sequence"))
+    # Rows find the profile of their group where they are dealt to, so that no task gets a group for itself.
+    spread = dealt(extra.where("sequence IS NOT NULL"), *[c for c in extra.columns if c != "sequence"])
+    placed = spread.join(known, keys, "left").withColumn("path", _along_profile("profile", "sequence"))
+    placed = cut_lineage(placed.drop("profile", "sequence"))
+    paths = aligned.withColumn("path", F.upper("sequence")).drop("sequence").unionByName(placed)
     return _spread(paths, keys).select(*aligned.columns)
 
 

@@ -55,6 +55,19 @@ def test_profiles_are_aligned_best():
     assert not own_p.any() and own_q.all()
 
 
+def test_letters_along_a_profile(monkeypatch):
+    draw = random.Random(6)
+    texts = ["".join(draw.choices("ACGTN", k=draw.randint(0, 10))) for _ in range(40)]
+    profile = sum(guided.profile_of(x) for x in ("ACGT-TGCA", "AC-TTTGCA", "GCGT-TG-A"))
+    want = []
+    for text in texts:
+        own, mine = guided.align_profiles(profile, guided.profile_of(text))
+        letters = iter(text)
+        want.append("".join((x.upper() if kept else x.lower()) for kept, x in ((k, next(letters) if has else "-") for k, has in zip(own, mine, strict=True))))
+    assert guided.letters_along(guided._packed(profile), texts) == want
+    assert guided.letters_along(None, ["acG"]) == ["ACG"]
+
+
 def plain_along(tree, cells):
     """The same bottom-up merges in plain Python, for a tree as nested pairs of labels."""
     if isinstance(tree, str):
