@@ -166,6 +166,32 @@ def test_similar_pairs_equal_all_pairs(spark, seed, similarity_, q, alphabet):
     assert got == want and want
 
 
+@pytest.mark.parametrize("rows", [2, 5_000])
+def test_similar_pairs_meet_once(spark, monkeypatch, rows):
+    # Frequent grams are dealt into blocks; no candidate but those that signatures allow leaves a task, each once.
+    monkeypatch.setattr(similarity, "KEY_ROWS", rows)
+    rng = random.Random(7)
+    texts = sorted({f"https://www.example.org/{rng.choice('abc')}/{rng.randrange(300)}" for _ in range(60)})
+    df = spark.createDataFrame([(g, k, t) for g in "gh" for k, t in enumerate(texts)], "gene string, accno int, sequence string")
+    got = [(r["gene"], r["src"], r["dst"], r["edits"]) for r in similarity.similar_pairs(df, 0.92).collect()]
+    want = {
+        (g, a, b, levenshtein(s, t)) for g in "gh" for a, s in enumerate(texts) for b, t in list(enumerate(texts))[a + 1:]
+        if levenshtein(s, t) <= math.floor((1 - 0.92) * max(len(s), len(t)) + 1e-9)}
+    assert len(got) == len(set(got)) and set(got) == want and want
+
+
+def test_signatures_change_little_by_an_edit(spark):
+    rng = random.Random(9)
+    pairs = []
+    for _ in range(80):
+        text = "".join(rng.choice("ACGT") for _ in range(rng.randrange(1, 20)))
+        at, way = rng.randrange(len(text)), rng.randrange(3)
+        pairs.append((text, text[:at] + ["", "G", "T" + text[at]][way] + text[at + 1:] or "A"))
+    found = spark.createDataFrame(pairs, "a string, b string").select(similarity.signature(F.col("a")).alias("a"), similarity.signature(F.col("b")).alias("b"))
+    apart = [sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(r["a"], r["b"], strict=True)) for r in found.collect()]
+    assert 0 < max(apart) <= 4
+
+
 def test_block_filter(spark):
     rows = ["ACGTACGTACGTACGTACGT", "ACGTACGTACGTAAGTACGT", "ACGTACGTACGTACGT-CGT", "ACGTACGTACGTTCGTACGT"]
     cells = spark.createDataFrame([("g", i, r) for i, r in enumerate(rows)] + [("g", 9, "-" * 20)][:0], "gene string, taxon int, sequence string")
