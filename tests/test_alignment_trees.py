@@ -31,6 +31,24 @@ def test_merge_keeps_group_columns(spark):
     aligned_ok(rows, {"a": "ACGTACGT", "b": "ACTGTACGT", "c": "ACGTACGTTT", "d": "ACGTAGGCGTTT"})
 
 
+def test_neighbours_in_strips(monkeypatch):
+    draw = random.Random(3)
+    sequences = ["".join(draw.choices("ACGT", k=60)) for _ in range(25)]
+    sequences += sequences[:5]
+    names, distance = [str(k) for k in range(30)], trees._distances(sequences)
+    whole = trees._join_neighbours("", names, distance)
+    for cached in (1, 70, 450):
+        monkeypatch.setattr(trees, "CACHED", cached)
+        assert trees._join_neighbours("", names, distance) == whole
+
+
+def test_trees_of_many_taxa(spark):
+    draw = random.Random(4)
+    df = spark.createDataFrame([("t", str(k), "".join(draw.choices("ACGT", k=12))) for k in range(3_001)], "tree string, taxon string, sequence string")
+    nodes = trees.build_trees(df)
+    assert nodes.where("label IS NOT NULL").count() == 3_001
+
+
 def plain_path(centre, sequence):
     """One pair by the plain table; equal letters first, then a gap in the sequence, then an inserted letter."""
     best = {}
