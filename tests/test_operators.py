@@ -180,6 +180,20 @@ def test_similar_pairs_meet_once(spark, monkeypatch, rows):
     assert len(got) == len(set(got)) and set(got) == want and want
 
 
+def test_greedy_clusters_read_edges_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    nodes = spark.createDataFrame([("g", "a", 9), ("g", "b", 8), ("g", "c", 7), ("g", "d", 5)], "gene string, accno string, length int")
+    edges = spark.createDataFrame([("g", "b", "a"), ("g", "b", "c")], "gene string, src string, dst string").mapInPandas(count, "gene string, src string, dst string")
+    found = {r["accno"]: r["lead"] for r in clusters.greedy_clusters(nodes, edges).collect()}
+    assert found == {"a": "a", "b": "a", "c": "c", "d": "d"} and seen.value == 2
+
+
 def test_signatures_change_little_by_an_edit(spark):
     rng = random.Random(9)
     pairs = []
