@@ -25,7 +25,8 @@ def shared_values(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
             F.lit(one).alias("column"), F.lit(other).alias("also_in"), F.col(key),
             F.col(one).alias("value"), F.col(other).alias("other_value"),
         )
-        parts.append(rows.join(values, "value", "left_semi").select(*rows.columns))
+        # Only a partition's distinct values are held; the rows go past them and are never sorted.
+        parts.append(rows.join(values.hint("shuffle_hash"), "value", "left_semi").select(*rows.columns))
     return reduce(DataFrame.unionByName, parts)
 
 

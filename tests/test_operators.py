@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from taxaweave import functions as X
 from taxaweave.functions.columns import cut_off_for, cut_offs
-from taxaweave.operators import blocks, clusters, genes, individuals, matrix, naming, outliers, similarity, taxonomy
+from taxaweave.operators import blocks, clean, clusters, genes, individuals, matrix, naming, outliers, similarity, taxonomy
 
 
 def one(spark, column, **values):
@@ -129,6 +129,15 @@ def test_blocks_and_coverage(spark):
     assert (row["taxa"], row["complete"], row["gene_coverage"]) == (4, 2, 0.75)
 
 
+def test_shared_values_hold_distinct_values_only(spark):
+    rows = spark.createDataFrame([(1, 7, 8), (2, 8, 9), (3, None, 7), (3, None, 7), (4, 5, None)], "k int, a long, b long")
+    found = clean.shared_values(rows, "k", ["a", "b"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
+    assert sorted(map(tuple, found.collect())) == [
+        ("a", "b", 1, 7, 8), ("a", "b", 2, 8, 9), ("b", "a", 1, 8, 7), ("b", "a", 3, 7, None), ("b", "a", 3, 7, None)]
+
+
 def test_names(spark):
     df = spark.createDataFrame([(1, "x1", "A b"), (1, "x1", "A b"), (1, "x2", "B c"), (1, "x3", "B c"), (2, "y", "B c")], "taxon int, accno string, species string")
     names = naming.numbered_names(naming.majority_names(df))
