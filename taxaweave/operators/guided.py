@@ -114,9 +114,31 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.frombuffer(data, "<i8").reshape(-1, KINDS)
 
 
+def _state(profile: np.ndarray) -> bytes:
+    """A profile as a node keeps it: counts of the fewest bytes that hold them, that number of bytes first."""
+    size = next(n for n in (1, 2, 4, 8) if not len(profile) or int(profile.max()) < 1 << (8 * n - 1))
+    return bytes([size]) + np.ascontiguousarray(profile, f"<i{size}").tobytes()
+
+
+def _state_profile(data: bytes) -> np.ndarray:
+    """The profile behind :func:`_state`; a single sequence is kept as its letters, after a 0."""
+    if data[0] == 0:
+        return np.eye(KINDS, dtype=np.int64)[np.frombuffer(data, np.uint8, offset=1)]
+    return np.frombuffer(data, f"<i{data[0]}", offset=1).reshape(-1, KINDS).astype(np.int64)
+
+
+def _path(own: np.ndarray) -> bytes:
+    """A path as bits, after the number of bits that the last byte lacks."""
+    return bytes([-len(own) % 8]) + np.packbits(own).tobytes()
+
+
+def _path_columns(data: bytes) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(data, np.uint8, offset=1), count=8 * (len(data) - 1) - data[0]).astype(bool)
+
+
 @F.pandas_udf(T.BinaryType())
 def _profiles(sequence: pd.Series) -> pd.Series:
-    return sequence.map(lambda s: _packed(profile_of(s if isinstance(s, str) else "")))
+    return sequence.map(lambda s: bytes(1) + letters_of(s if isinstance(s, str) else "").astype(np.uint8).tobytes())
 
 
 @F.pandas_udf(T.BinaryType())
@@ -125,9 +147,9 @@ def _composed(lower: pd.Series, upper: pd.Series) -> pd.Series:
     def one(own, above):
         if above is None:
             return own
-        out = np.frombuffer(above, bool).copy()
-        out[out] = np.frombuffer(own, bool)
-        return out.tobytes()
+        out = _path_columns(above)
+        out[out] = _path_columns(own)
+        return _path(out)
 
     return pd.Series([one(*pair) for pair in zip(lower, upper, strict=True)])
 
@@ -137,8 +159,9 @@ def _spelled(sequence: pd.Series, path: pd.Series) -> pd.Series:
     def one(text, own):
         if own is None:
             return text
-        out = np.full(len(own), ord("-"), "<u4")
-        out[np.frombuffer(own, bool)] = np.array([ord(c) for c in text or ""], "<u4")
+        columns = _path_columns(own)
+        out = np.full(len(columns), ord("-"), "<u4")
+        out[columns] = np.array([ord(c) for c in text or ""], "<u4")
         return out.tobytes().decode("utf-32-le")
 
     return pd.Series([one(*pair) for pair in zip(sequence, path, strict=True)])
@@ -172,37 +195,47 @@ def fold_up(tips: DataFrame, nodes: DataFrame, merge, extra: str) -> tuple[DataF
     ``merge`` takes the two (state, score, length) of a pair and gives (state, score, left, right); ``left`` and ``right``
     (of SQL type ``extra``) are kept with the children. Returns the roots' (tree, node, state, score) and (tree, node, up, kept).
     """
-    above = cut_lineage(nodes.select("tree", "node", F.col("parent").alias("up"), F.coalesce("length", F.lit(0.0)).alias("length")))
+    above = nodes.select("tree", "node", F.col("parent").alias("up"), F.coalesce("length", F.lit(0.0)).alias("length"))
     arity = above.where("up IS NOT NULL").groupBy("tree", "up").agg(F.count(F.lit(1)).alias("k"))
-    need = cut_lineage(arity)
-    current = cut_lineage(tips.join(above, ["tree", "node"]))
+    # Every node with the number of its siblings, itself included; joins here are never broadcasts, so that nothing goes through the driver.
+    above = cut_lineage(above.join(arity.hint("merge"), ["tree", "up"], "left").select("tree", "node", "up", "length", "k"))
+    current = cut_lineage(tips.join(above.hint("merge"), ["tree", "node"]))
+    open_ = above.join(arity.select("tree", F.col("up").alias("node")).hint("merge"), ["tree", "node"], "left_semi")
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for tree, up, children in zip(batch["tree"], batch["up"], batch["children"], strict=True):
+            for tree, up, k, children in zip(batch["tree"], batch["up"], batch["k"], batch["children"], strict=True):
+                if len(children) != k:
+                    # These wait for the others.
+                    out += [(tree, c["node"], c["state"], c["score"], None, None, None, None, up, c["length"], k) for c in children]
+                    continue
                 parts = [(c["state"], c["score"], c["length"]) for c in children]
                 state, score, left, right = merge(*parts) if len(parts) == 2 else merge(parts[0], None)
-                out.append((tree, up, state, score, children[0]["node"], left, children[1]["node"] if len(parts) == 2 else None, right))
-            yield pd.DataFrame(out, columns=["tree", "node", "state", "score", "one", "kept_one", "two", "kept_two"])
-
-    schema = f"tree string, node string, state binary, score double, one string, kept_one {extra}, two string, kept_two {extra}"
-    kept = []
+                out.append((
+                    tree, up, state, score, children[0]["node"], left, children[1]["node"] if len(parts) == 2 else None, right, None, None, None))
+            yield pd.DataFrame(out, columns=names).astype({"k": "Int64"})
+
+    schema = (
+        f"tree string, node string, state binary, score double, one string, kept_one {extra}, two string, kept_two {extra}, "
+        "up string, length double, k long")
+    names = [part.split()[0] for part in schema.split(", ")]
+    row = ["tree", "node", "up", "length", "k", "state", "score"]
+    kept, roots = [], [current.where("up IS NULL").select("tree", "node", "state", "score")]
     while True:
         # At most two children each.
-        ready = current.where("up IS NOT NULL").groupBy("tree", "up").agg(
-            F.array_sort(F.collect_list(F.struct("node", "state", "score", "length"))).alias("children")
-        ).join(need, ["tree", "up"]).where(F.size("children") == F.col("k")).drop("k")
-        merged = cut_lineage(ready.mapInPandas(solve, schema))
+        groups = current.where("up IS NOT NULL").groupBy("tree", "up", "k").agg(
+            F.array_sort(F.collect_list(F.struct("node", "state", "score", "length"))).alias("children"))
+        solved = cut_lineage(groups.mapInPandas(solve, schema))
+        merged, waiting = solved.where("one IS NOT NULL"), solved.where("one IS NULL").select(*row)
         if merged.isEmpty():
             break
-        done = merged.select("tree", F.col("one").alias("node")).union(merged.where("two IS NOT NULL").select("tree", "two"))
-        before = current
-        current = cut_lineage(
-            current.join(done, ["tree", "node"], "left_anti")
-            .unionByName(merged.select("tree", "node", "state", "score").join(above, ["tree", "node"]))
-        )
-        forget(before)
+        # Nodes still open shrink from round to round: each finds its state once.
+        found = cut_lineage(open_.join(merged.select("tree", "node", "state", "score").hint("merge"), ["tree", "node"], "left"))
+        open_ = found.where("state IS NULL").select("tree", "node", "up", "length", "k")
+        fresh = found.where("state IS NOT NULL").select(*row)
+        roots.append(fresh.where("up IS NULL").select("tree", "node", "state", "score"))
+        current = waiting.unionByName(fresh)
         kept += [
             merged.select("tree", F.col("one").alias("node"), F.col("node").alias("up"), F.col("kept_one").alias("kept")),
             merged.where("two IS NOT NULL").select("tree", F.col("two").alias("node"), F.col("node").alias("up"), F.col("kept_two").alias("kept")),
@@ -210,19 +243,22 @@ def fold_up(tips: DataFrame, nodes: DataFrame, merge, extra: str) -> tuple[DataF
     if not kept:
         spark = nodes.sparkSession
         return current.select("tree", "node", "state", "score"), spark.createDataFrame([], f"tree string, node string, up string, kept {extra}")
+    top = roots[0]
+    for more in roots[1:]:
+        top = top.unionByName(more)
     paths = kept[0]
     for more in kept[1:]:
         paths = paths.unionByName(more)
-    return current.where("up IS NULL").select("tree", "node", "state", "score"), cut_lineage(paths)
+    return top, cut_lineage(paths)
 
 
 def _merge_profiles(one, two):
-    p = _unpacked(one[0])
+    p = _state_profile(one[0])
     if two is None:
-        return one[0], 0.0, np.ones(len(p), bool).tobytes(), None
-    q = _unpacked(two[0])
+        return one[0], 0.0, _path(np.ones(len(p), bool)), None
+    q = _state_profile(two[0])
     own_p, own_q = align_profiles(p, q)
-    return _packed(merged_profile(p, q, own_p, own_q)), 0.0, own_p.tobytes(), own_q.tobytes()
+    return _state(merged_profile(p, q, own_p, own_q)), 0.0, _path(own_p), _path(own_q)
 
 
 def align_along(cells: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -233,12 +269,12 @@ def align_along(cells: DataFrame, nodes: DataFrame) -> DataFrame:
     """
     two = binary(nodes.select("tree", "node", "parent", "length", "label"))
     tips = cut_lineage(two.where("label IS NOT NULL").select("tree", "node", "label").join(
-        cells.select("tree", "label", "sequence"), ["tree", "label"], "left"))
+        cells.select("tree", "label", "sequence").hint("merge"), ["tree", "label"], "left"))
     states = tips.select("tree", "node", _profiles("sequence").alias("state"), F.lit(0.0).alias("score"))
     _, paths = fold_up(states, two, _merge_profiles, "binary")
     current = paths
     while True:
-        further = current.select("tree", F.col("node").alias("up"), F.col("up").alias("_up"), F.col("kept").alias("_kept"))
+        further = current.select("tree", F.col("node").alias("up"), F.col("up").alias("_up"), F.col("kept").alias("_kept")).hint("merge")
         if current.join(further, ["tree", "up"], "left_semi").isEmpty():
             break
         before = current
@@ -247,7 +283,7 @@ def align_along(cells: DataFrame, nodes: DataFrame) -> DataFrame:
                 "tree", "node", F.coalesce("_up", "up").alias("up"), _composed("kept", "_kept").alias("kept"))
         )
         forget(before)
-    return tips.where("sequence IS NOT NULL").join(current.select("tree", "node", "kept"), ["tree", "node"], "left").select(
+    return tips.where("sequence IS NOT NULL").join(current.select("tree", "node", "kept").hint("merge"), ["tree", "node"], "left").select(
         "tree", "label", _spelled("sequence", "kept").alias("sequence")
     )
 

@@ -125,9 +125,10 @@ def _tips(cells: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Binary node table, and its tips with sequence and patterns. Tips without sequence may be anything."""
     two = cut_lineage(binary(nodes.select("tree", "node", "parent", "length", "label")))
     named = two.where("label IS NOT NULL").select("tree", "node", "label")
-    rows = cells.select("tree", "label", "sequence").join(named, ["tree", "label"], "left_semi")
+    # As many names as tips: never broadcast, so that they do not go through the driver.
+    rows = cells.select("tree", "label", "sequence").join(named.hint("merge"), ["tree", "label"], "left_semi")
     found = cut_lineage(site_patterns(rows))
-    return two, cut_lineage(named.join(rows, ["tree", "label"], "left").join(found, "tree"))
+    return two, cut_lineage(named.join(rows.hint("merge"), ["tree", "label"], "left").join(found, "tree"))
 
 
 def parsimony(cells: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -237,7 +238,7 @@ def _branch_sets(two: DataFrame, tips: DataFrame) -> DataFrame:
     _, kept = fold_up(states, two, _merge_sets, "binary")
     kept = cut_lineage(kept.select("tree", "node", "up", F.col("kept").alias("own")))
     # At most two children a node.
-    one, other = kept.alias("a"), kept.alias("b")
+    one, other = kept.alias("a"), kept.alias("b").hint("merge")
     pairs = cut_lineage(one.join(other, (F.col("a.tree") == F.col("b.tree")) & (F.col("a.up") == F.col("b.up")) & (F.col("a.node") != F.col("b.node")), "left").select(
         "a.tree", "a.node", "a.up", "a.own", F.col("b.own").alias("sibling")))
 
@@ -275,13 +276,13 @@ def placements(cells: DataFrame, nodes: DataFrame) -> DataFrame:
     two, tips = _tips(cells, nodes)
     branches = cut_lineage(_branch_sets(two, tips))
     patterns = tips.select("tree", "places", "weights").dropDuplicates(["tree"])
-    missing = cells.where("sequence IS NOT NULL").select("tree", "label", "sequence").join(named, ["tree", "label"], "left_anti")
+    missing = cells.where("sequence IS NOT NULL").select("tree", "label", "sequence").join(named.hint("merge"), ["tree", "label"], "left_anti")
     # All columns of a missing taxon are kept; the branch's patterns are spread over them.
     sets = missing.join(nodes.select("tree").distinct(), "tree", "left_semi").select("tree", "label", "sequence")
     numbered = number_rows(sets, ["label"], ["tree"], "_r")
     blocks = numbered.groupBy("tree", F.floor((F.col("_r") - 1) / BLOCK).alias("block")).agg(
         F.sort_array(F.collect_list(F.struct("label", "sequence"))).alias("taxa"))
-    columns = cut_lineage(_columns(cells.join(named, ["tree", "label"], "left_semi"), patterns))
+    columns = cut_lineage(_columns(cells.join(named.hint("merge"), ["tree", "label"], "left_semi"), patterns))
     ready = branches.join(columns, "tree").join(blocks, "tree").select("tree", "node", "branch", "column", "taxa")
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

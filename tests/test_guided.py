@@ -83,6 +83,46 @@ def plain_along(tree, cells):
     return [(k, spread(s, own_p)) for k, s in left] + [(k, spread(s, own_q)) for k, s in right]
 
 
+def test_states_and_paths_are_small():
+    text = "ACGTN-acgU"
+    tip = bytes(1) + guided.letters_of(text).astype(np.uint8).tobytes()
+    assert len(tip) == len(text) + 1 and (guided._state_profile(tip) == guided.profile_of(text)).all()
+    for most in (1, 127, 128, 40_000, 1 << 40):
+        profile = guided.profile_of(text) * most
+        assert (guided._state_profile(guided._state(profile)) == profile).all()
+    assert len(guided._state(guided.profile_of(text) * 127)) == 6 * len(text) + 1
+    assert guided._state_profile(guided._state(guided.profile_of(""))).shape == (0, guided.KINDS)
+    for n in range(20):
+        own = np.arange(n) % 3 > 0
+        assert (guided._path_columns(guided._path(own)) == own).all() and len(guided._path(own)) == 1 + -(-n // 8)
+
+
+def test_fold_up_sends_no_nodes_to_the_driver(spark, monkeypatch):
+    plans, write = [], guided.cut_lineage
+
+    def watched(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df)
+
+    # A comb: at every joint a tip waits for all that is below the other side.
+    nodes = [("x", f"i{k}", f"i{k - 1}" if k else None, 1.0, None) for k in range(4)]
+    nodes += [("x", f"t{k}", f"i{min(k, 3)}", 1.0, f"t{k}") for k in range(5)]
+    nodes = spark.createDataFrame(nodes, "tree string, node string, parent string, length double, label string")
+    tips = spark.createDataFrame([("x", f"t{k}", str(k).encode(), float(k)) for k in range(5)], "tree string, node string, state binary, score double")
+
+    def merge(one, two):
+        return one[0] + two[0], one[1] + two[1], one[0], two[0]
+
+    monkeypatch.setattr(guided, "cut_lineage", watched)
+    roots, kept = guided.fold_up(tips, nodes, merge, "binary")
+    assert [(r["node"], sorted(bytes(r["state"]).decode()), r["score"]) for r in roots.collect()] == [("i0", list("01234"), 10.0)]
+    found = {r["node"]: (r["up"], sorted(bytes(r["kept"]).decode())) for r in kept.collect()}
+    assert found == {
+        **{f"t{k}": (f"i{min(k, 3)}", [str(k)]) for k in range(5)},
+        "i3": ("i2", list("34")), "i2": ("i1", list("234")), "i1": ("i0", list("1234"))}
+    assert plans and not any("Broadcast" in p for p in plans)
+
+
 def test_align_along(spark):
     draw = random.Random(9)
     base = "".join(draw.choices("ACGT", k=40))
