@@ -4,9 +4,9 @@ Documents are sets of word shingles. Two sets link when ``percent`` of their uni
 shared. The work goes in four steps, all exact:
 
 1. *Keys.* A link of sizes up to ``hi`` differs in at most D = 2 hi (1-t)/(1+t) shingles.
-   Per band of sizes, the hash space is cut into a few more than D parts, so that a
-   part with shingles stays equal; its content, hashed to 64 bits, is the key. A set with too many empty
-   parts adds the keys of its prefix (the smallest hashes, of which a link shares one).
+   Per band of sizes, the hash space is cut into some more than D parts, so that a
+   part with shingles stays equal; its content, hashed to 48 bits, is the key. A set with too many empty
+   parts (rare, as an eighth more than D are cut) adds the keys of its prefix (the smallest hashes, of which a link shares one).
    Equal sets are one node from the start, so copies add no keys.
    Keys go straight into the shuffle that finds the shared ones; only these are written.
 2. *Hubs.* Each node is compared with one node of its keys, in rounds, always one of
@@ -36,8 +36,11 @@ from taxaweave.llm.scan import Chunk, chunks, counts_by_row, mix, span_hashes, w
 from taxaweave.llm.steps import discard, written
 from taxaweave.operators.components import connected_components
 
-GROWTH = 1.2
+#: Wide bands and spare parts: fewer keys than narrow bands, whose sets often have too many empty parts.
+GROWTH = 1.5
 LARGEST = 1 << 40
+#: Bits of a key that are kept. Keys that only meet by chance cost a comparison, no link.
+KEY_BITS = 48
 #: Bits of the sieve of candidate ids, whatever their number.
 SIEVE = 1 << 22
 TILE = 1024
@@ -110,7 +113,7 @@ def band_keys(rows: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, percent:
             break
         highest = EDGES[scheme + 1] - 1
         differ = (2 * highest * (100 - percent)) // (100 + percent)
-        parts = np.where(use, differ + 1 + np.where(differ > 0, 1 + differ // 32, 0), 0)
+        parts = np.where(use, differ + 1 + np.where(differ > 0, 2 + differ // 8, 0), 0)
         offset = np.cumsum(parts) - parts
         at = np.flatnonzero(use[rows])
         row = rows[at]
@@ -134,7 +137,7 @@ def band_keys(rows: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, percent:
         step += 1
     if not out_rows:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    row, key = np.concatenate(out_rows), np.concatenate(out_keys)
+    row, key = np.concatenate(out_rows), np.concatenate(out_keys) >> np.uint64(64 - KEY_BITS)
     order = np.argsort(row, kind="stable")
     return row[order], key[order]
 

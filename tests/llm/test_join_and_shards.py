@@ -66,6 +66,15 @@ def test_keys_find_every_link():
                 assert keys[0] & keys[1]
 
 
+def test_keys_are_few_and_short():
+    draw = np.random.default_rng(3)
+    sizes = draw.integers(30, 800, 300)
+    hashes = np.concatenate([np.sort(draw.integers(0, 2**63, n, dtype=np.uint64)) for n in sizes])
+    for percent, most in ((80, 0.6), (85, 0.4)):
+        keys = ngram_join.band_keys(np.repeat(np.arange(len(sizes)), sizes), hashes, sizes, percent)[1]
+        assert len(keys) <= most * len(hashes) and int(keys.max()) < 2**48
+
+
 def test_bitmaps_bound_the_overlap():
     draw = np.random.default_rng(2)
     for size in (10, 100, 700):
