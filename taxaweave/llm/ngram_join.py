@@ -8,7 +8,8 @@ shared. The work goes in four steps, all exact:
    part with shingles stays equal; its content, hashed to 48 bits, is the key. A set with too many empty
    parts (rare, as an eighth more than D are cut) adds the keys of its prefix (the smallest hashes, of which a link shares one).
    Equal sets are one node from the start, so copies add no keys.
-   Keys go straight into the shuffle that finds the shared ones; only these are written.
+   Keys go straight into the shuffle that finds the shared ones; only these are written, those with the same
+   nodes as one key with their number as its weight.
 2. *Hubs.* Each node is compared with one node of its keys, in rounds, always one of
    another component; groups of near copies collapse here, without pairs among their members.
 3. *Tiles.* Keys that still hold several components are laid out as tiles (large ones
@@ -41,8 +42,10 @@ GROWTH = 1.5
 LARGEST = 1 << 40
 #: Bits of a key that are kept. Keys that only meet by chance cost a comparison, no link.
 KEY_BITS = 48
-#: Bits of the sieve of candidate ids, whatever their number.
-SIEVE = 1 << 22
+#: Bits of the sieve of candidate ids: at least, at most (16 MB), and for each of them.
+SIEVE, MOST_SIEVE, SIEVE_BITS = 1 << 22, 1 << 27, 16
+#: Pairs of a node that take its array from one row.
+SLICE = 64
 TILE = 1024
 LEAST_BITS, MOST_BITS, BITS_PER_SHINGLE = 256, 1 << 15, 8
 #: Closest pairs of a node with other components that are tried at first, and how many times more in each further round.
@@ -241,8 +244,9 @@ def differing_bits(maps: tuple[np.ndarray, np.ndarray, np.ndarray], left: np.nda
     for shape in np.unique(shapes):
         own = np.flatnonzero(shapes == shape)
         w, v = divmod(int(shape), 4096)
-        for k in range(0, len(own), max(1, 1 << 21 >> max(w, v).bit_length())):  # some 16 MB at a time
-            part = own[k : k + max(1, 1 << 21 >> max(w, v).bit_length())]
+        step = max(1, 1 << 18 >> max(w, v).bit_length())  # some 2 MB at a time, 16 where they are folded
+        for k in range(0, len(own), step):
+            part = own[k : k + step]
             x = words[start[left[part]][:, None] + np.arange(w)]
             y = words[start[right[part]][:, None] + np.arange(v)]
             x, y = folded(x, min(w, v)), folded(y, min(w, v))
@@ -285,7 +289,7 @@ def tile_survivors(tile, key, node, size, component, block, firsts, maps, percen
     sums = np.cumsum(later)
     first = 0
     while first < n:
-        last = max(first + 1, int(np.searchsorted(sums, (sums[first - 1] if first else 0) + (1 << 20), "right")))
+        last = max(first + 1, int(np.searchsorted(sums, (sums[first - 1] if first else 0) + (1 << 18), "right")))
         count = later[first:last]
         left = np.repeat(np.arange(first, last), count)
         right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(count) - count, count)
@@ -358,13 +362,26 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 ok.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(ok, pa.bool_())], names=["a", "b", "links"])
 
-    # Each side takes the arrays of its own pairs; only these meet.
+    # A node with many pairs sends its array once for each slice of them; the other side's goes there with the pair.
     table = written(pairs)
-    pairs = _sent(table)
-    left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")).join(pairs, "a")
-    right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")).join(pairs, "b")
-    found = written(left.join(right, ["a", "b"]).select("a", "b", "x", "y").mapInArrow(check, "a long, b long, links boolean"))
+    ends = table.select(F.col("a").alias("node")).unionAll(table.select(F.col("b").alias("node")))
+    degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    turned = written(
+        table.join(degree.select(F.col("node").alias("a"), F.col("n").alias("of_a")), "a")
+        .join(degree.select(F.col("node").alias("b"), F.col("n").alias("of_b")), "b")
+        .select(
+            F.when(F.col("of_a") > F.col("of_b"), F.col("a")).otherwise(F.col("b")).alias("hub"),
+            F.when(F.col("of_a") > F.col("of_b"), F.col("b")).otherwise(F.col("a")).alias("other"),
+            F.ceil(F.greatest("of_a", "of_b") / SLICE).alias("slices"),
+        ).select("hub", "other", F.pmod(F.xxhash64("other"), "slices").alias("slice"))
+    )
     discard(table)
+    hubs = written(turned.select("hub", "slice").distinct())
+    left = sets.select(F.col("node").alias("other"), F.col("hashes").alias("x")).join(_sent(turned), "other")
+    right = sets.select(F.col("node").alias("hub"), F.col("hashes").alias("y")).join(_sent(hubs), "hub")
+    met = left.join(right, ["hub", "slice"]).select(F.least("hub", "other").alias("a"), F.greatest("hub", "other").alias("b"), "x", "y")
+    found = written(met.mapInArrow(check, "a long, b long, links boolean"))
+    discard(turned), discard(hubs)
     return found
 
 
@@ -373,15 +390,16 @@ def _sent(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= SENT else ids
 
 
-def _sieve(ids: DataFrame):
-    """A bitmap of fixed size that every candidate id passes; at most SIEVE / 64 numbers reach the driver."""
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE))
+def _sieve(ids: DataFrame, n: int):
+    """A bitmap that every one of the ``n`` candidate ids passes, and few others; at most MOST_SIEVE / 64 numbers reach the driver."""
+    size = min(max(SIEVE, 1 << (SIEVE_BITS * n).bit_length()), MOST_SIEVE)
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(size))
     found = (
         ids.select(place.alias("place")).select(
             F.shiftright("place", 6).cast("int").alias("word"), F.expr("shiftleft(1L, cast(place & 63 as int))").alias("bit")
         ).groupBy("word").agg(F.bit_or("bit").alias("bits"))
     ).toPandas()
-    bits = np.zeros(SIEVE // 64, np.int64)
+    bits = np.zeros(size // 64, np.int64)
     bits[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
     return ids.sparkSession.sparkContext.broadcast(bits.tobytes()), place
 
@@ -391,20 +409,9 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFram
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = written(ids.mapInArrow(_node_scan(width), "doc_id long, n_shingles long, node long"))
     nodes = rows.where("n_shingles > 0")
-    # A key that only one node has, however many copies of it there are, finds nothing.
-    by_key = Window.partitionBy("key")
-    shared = written(
-        ids.select("text").mapInArrow(_key_scan(width, percent), "node long, key long")
-        .withColumn("low", F.min("node").over(by_key)).withColumn("high", F.max("node").over(by_key))
-        .where("low <> high").select("node", "key").distinct()
-    )
-    known = shared.select("node").distinct()
-    sieve, place = _sieve(nodes.select("doc_id", "node").join(known, "node", "left_semi"))
-    sets = written(
-        ids.withColumn("place", place).select("text", "place")
-        .mapInArrow(_sieved_sets(width, sieve), "node long, size long, hashes binary, bits binary")
-        .join(known, "node", "left_semi").dropDuplicates(["node"])
-    )
+    shared = written(_shared_keys(ids.select("text").mapInArrow(_key_scan(width, percent), "node long, key long")))
+    known = written(shared.select("node").distinct())
+    sets, behind = _known_sets(ids, nodes, known, width)
     parts, tested = written(known.withColumn("component", F.col("node"))), None
     while True:
         labelled = written(shared.join(parts, "node"))
@@ -431,10 +438,52 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFram
         if pending.isEmpty():
             break
         most *= MORE
-    discard(shared), discard(sets), discard(tested)
+    for table in [shared, known, tested, *behind]:
+        discard(table)
     return rows, parts
 
 
+def _shared_keys(keys: DataFrame) -> DataFrame:
+    """(node, key, weight) of the keys that several nodes have; ``weight`` keys with the same nodes are one, the smallest.
+
+    A key that only one node has, however many copies of it there are, finds nothing.
+    """
+    by_key = Window.partitionBy("key")
+    shared = (
+        keys.withColumn("low", F.min("node").over(by_key)).withColumn("high", F.max("node").over(by_key))
+        .where("low <> high").select("node", "key").distinct()
+        .withColumn("members", F.count(F.lit(1)).over(by_key)).withColumn("who", F.bit_xor(F.xxhash64("node")).over(by_key))
+        .withColumn("who_else", F.bit_xor(F.xxhash64("node", F.lit(1))).over(by_key))
+    )
+    return (
+        shared.groupBy("node", "members", "who", "who_else").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("weight"))
+        .select("node", "key", "weight")
+    )
+
+
+def _known_sets(ids: DataFrame, nodes: DataFrame, known: DataFrame, width: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(node, size, hashes, bits) of every known node, and the written tables behind it.
+
+    The arrays are written by the scan of one document of each node; they are not shuffled. Sets of other nodes that pass
+    the sieve by chance meet no pair. A node that came twice is left out where it is read.
+    """
+    one = nodes.join(known, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    sieve, place = _sieve(one, known.count())
+    found = written(
+        ids.withColumn("place", place).select("text", "place")
+        .mapInArrow(_sieved_sets(width, sieve), "node long, size long, hashes binary, bits binary")
+        .withColumn("at", F.monotonically_increasing_id())
+    )
+    first = F.min("at").over(Window.partitionBy("node"))
+    spare = written(found.select("node", "at").withColumn("first", first).where("at <> first").select("at"))
+    n = spare.count()
+    if n > SENT:
+        single = written(found.dropDuplicates(["node"]))
+        discard(found), discard(spare)
+        return single.drop("at"), [single]
+    return (found.join(F.broadcast(spare), "at", "left_anti") if n else found).drop("at"), [found, spare]
+
+
 def _merged(parts: DataFrame, now: DataFrame) -> DataFrame:
     """``parts`` after the links among ``now``: only components that a new link joins change."""
     ends = now.where("links").join(parts.select(F.col("node").alias("a"), F.col("component").alias("u")), "a").join(
@@ -467,7 +516,7 @@ def _hub_pairs(labelled: DataFrame) -> DataFrame:
     hubs = labelled.groupBy("key").agg(F.min(F.struct("component", "node")).alias("hub"))
     return (
         labelled.join(hubs, "key").where("component <> hub.component")
-        .groupBy("node", F.col("hub.node").alias("hub")).agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("node", F.col("hub.node").alias("hub")).agg(F.sum("weight").alias("n"))
         .groupBy("node").agg(F.max_by("hub", F.struct("n", "hub")).alias("hub"))
         .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     )
@@ -475,13 +524,9 @@ def _hub_pairs(labelled: DataFrame) -> DataFrame:
 
 def _tiles(labelled: DataFrame, sets: DataFrame, percent: int, most: int) -> DataFrame:
     """Pairs to intersect next, from keys that hold more than one component."""
-    # Keys with the same members make one tile.
     open_keys = (
-        labelled.groupBy("key").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"),
-            F.bit_xor(F.xxhash64("node")).alias("who"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("who_else"),
-        ).where("low <> high").groupBy("members", "who", "who_else").agg(F.min("key").alias("key"))
-        .select("key", "members", F.ceil(F.col("members") / TILE).cast("int").alias("blocks"))
+        labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"))
+        .where("low <> high").select("key", "members", F.ceil(F.col("members") / TILE).cast("int").alias("blocks"))
     )
     own = F.pmod(F.hash("node"), "blocks")
     open_rows = labelled.join(open_keys, "key")

@@ -3,8 +3,8 @@
 A batch of texts becomes one array of code points with the bounds of its rows.
 Words, lines and their hashes are then found for all rows at once, so that no
 operator loops over words in Python. Texts are handled in chunks of about a
-million characters; one longer text is a chunk of its own, at some fifty bytes
-of memory a character.
+quarter of a million characters; one longer text is a chunk of its own, at some
+fifty bytes of memory a character.
 
 Hashes have 64 bits: two different strings of a corpus share one with a
 probability of about (number of strings)^2 / 4e19.
@@ -20,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 BASE = 0x9E3779B97F4A7C15 | 1
 MASK = (1 << 64) - 1
 
