@@ -1,5 +1,7 @@
 import random
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,6 +51,41 @@ def test_trees_of_many_taxa(spark):
     assert nodes.where("label IS NOT NULL").count() == 3_001
 
 
+def test_joining_does_not_read_the_whole_table_at_each_step():
+    draw = random.Random(6)
+    n = 1500
+    distance = trees._distances(["".join(draw.choices("ACGT", k=96)) for _ in range(n)])
+    start = time.perf_counter()
+    for _ in range(3):
+        np.multiply(distance, 2.0).argmin()
+    once = (time.perf_counter() - start) / 3
+    start = time.perf_counter()
+    rows = trees._join_neighbours("", [str(k) for k in range(n)], distance)
+    # The tables of all steps are n / 3 times the first one.
+    assert time.perf_counter() - start < n / 3 * once * 0.8
+    assert len(rows) == 2 * n - 2
+
+
+def test_equal_pairs_are_joined_by_age():
+    # Two pairs of equal sums and distances, and copies without any distance between them.
+    names = list("abcd")
+    rows = {r[3]: r[1] for r in trees._join_neighbours("", names, np.array([[0, 1, 3, 3], [1, 0, 3, 3], [3, 3, 0, 1], [3, 3, 1, 0]], float)) if r[3]}
+    assert rows["a"] == rows["b"] == "i0"
+    rows = trees._join_neighbours("", [str(k) for k in range(40)], np.zeros((40, 40)))
+    assert {r[3] for r in rows if r[1] == "i0"} == {"0", "1"} and len(rows) == 78
+    assert all(r[2] is None or r[2] == 0 for r in rows)
+
+
+def test_splits_of_small_trees_take_no_rounds(spark, monkeypatch):
+    nodes = newick(spark, "((a:1,b:1):1,(c:1,(d:1,e:1):5):1,f:9);")
+    extra = spark.createDataFrame([(None, "n0", None, None, None), (None, "n1", "n0", 1.0, "a")], nodes.schema)
+    in_rounds = sorted(trees.clades(nodes.unionByName(extra), 0).collect())
+    monkeypatch.setattr(trees, "subtree_totals", lambda *_: pytest.fail("in rounds"))
+    found = trees.clades(nodes.unionByName(extra))
+    assert found.schema["split"].dataType.simpleString() == "decimal(38,0)"
+    assert len(in_rounds) == 3 and sorted(found.collect()) == in_rounds
+
+
 def plain_path(centre, sequence):
     """One pair by the plain table; equal letters first, then a gap in the sequence, then an inserted letter."""
     best = {}
