@@ -188,3 +188,14 @@ def test_features():
     rows, hashes = ftrl.text_features(chunk)
     assert Counter(rows.tolist()) == {0: 3 + 2 + 1, 1: 1, 3: 2 + 1}
     assert len(set(hashes.tolist())) == 9  # the word that two rows share is one feature
+
+
+def test_words_are_decoded_together():
+    import pyarrow as pa
+
+    from taxaweave.llm import scan
+
+    (chunk,) = scan.chunks(pa.array(["Über den Fluß", None, "OLD bolt \U0001f600x", ""]))
+    starts, ends, _, _ = stripes.phrase_words(chunk)
+    assert stripes._texts(chunk, starts, ends) == ["Über", "den", "fluß", "old", "bolt", "\U0001f600x"]
+    assert stripes._texts(chunk, starts[:0], ends[:0]) == []
