@@ -262,3 +262,21 @@ def test_path_spells_both(a, b):
     path = path_to_centre(a, b)
     assert path.replace("-", "").upper() == b
     assert sum(1 for c in path if c.isupper() or c == "-") == len(a)
+
+
+def test_first_met_pairs_by_bits():
+    import random
+
+    import numpy as np
+    import pandas as pd
+
+    from taxaweave.operators import similarity
+
+    draw = random.Random(2)
+    lists = [np.array(draw.sample(range(-400, 400), draw.randint(0, 12)), np.int64) for _ in range(120)]
+    bits = similarity._key_bits(similarity._earlier(pd.Series(lists)))
+    x, y = np.triu_indices(len(lists), 1)
+    found = set(similarity._first_met(bits, x, y).tolist())
+    assert len(bits) > 2
+    assert found == {k for k in range(len(x)) if not set(lists[x[k]]) & set(lists[y[k]])}
+    assert similarity._earlier(pd.Series([np.array([], np.int64)] * 2)).shape == (0, 2)
